@@ -36,9 +36,11 @@ def with_total(counts: DataFrame, within: Sequence[str], part: str, total: str,
 
     With no ``within`` keys the total is one scalar subquery. Otherwise totals are grouped
     on their own and joined back: adaptive execution broadcasts them if they turn out small
-    and splits a group that is skewed even after counting. ``closed`` says that the classes
-    in a group come from a closed list, so a group is a handful of rows; then a window saves
-    the second aggregation. Rows with a null key belong to no group and are dropped.
+    and splits a group that is skewed even after counting. Both branches read the same
+    counted shuffle, as long as ``part`` is the only aggregate of ``counts``. ``closed`` says
+    that the classes in a group come from a closed list, so a group is a handful of rows;
+    then a window saves the second aggregation. Rows with a null key belong to no group and
+    are dropped.
     """
     if not within:
         whole = counts.agg(F.sum(part)).scalar()
@@ -46,8 +48,11 @@ def with_total(counts: DataFrame, within: Sequence[str], part: str, total: str,
     counts = require_keys(counts, *within)
     if closed:
         return counts.withColumn(total, F.sum(part).over(W.partitionBy(*within)))
-    totals = counts.groupBy(*within).agg(F.sum(part).alias(total))
-    return counts.join(totals, list(within))
+    return counts.join(totals_of(counts, within, part, total), list(within))
+
+
+def totals_of(counts: DataFrame, within: Sequence[str], part: str, total: str) -> DataFrame:
+    return counts.groupBy(*within).agg(F.sum(part).alias(total))
 
 
 def share_of_total(counts: DataFrame, within: Sequence[str], part: str, total: str,
@@ -85,14 +90,20 @@ def rate_and_weight(df: DataFrame, within: Sequence[str], keys: Sequence[str], f
     """Flagged percentage of each facet, and its flagged share of all rows of the entity.
 
     ``within`` names the entity, ``keys`` the entity and the facet. The entity total counts
-    all rows, also those of facets that the final filter removes.
+    all rows, also those of facets that the final filter removes. Rows are first counted by
+    key and flag; facets and entity totals are both summed up from these counts, so the
+    input is read once and no entity is gathered in one task.
     """
-    facets = count_by(require_keys(df, *within), keys, total, {flagged: flag})
-    out = with_total(facets, within, total, "_entity_rows")
+    counts = count_by(require_keys(df, *within).withColumn("_flag", flag), [*keys, "_flag"],
+                      "_rows")
+    facets = counts.groupBy(*keys).agg(
+        F.sum("_rows").alias(total),
+        F.sum(F.when(F.col("_flag"), F.col("_rows")).otherwise(0)).alias(flagged))
     if not keep_zero:
-        out = out.filter(F.col(flagged) > 0)
+        facets = facets.filter(F.col(flagged) > 0)
     if min_rows:
-        out = out.filter(F.col(total) >= min_rows)
+        facets = facets.filter(F.col(total) >= min_rows)
+    out = facets.join(totals_of(counts, within, "_rows", "_entity_rows"), list(within))
     return (
         out.withColumn(rate, pct(F.col(flagged), F.col(total)))
         .withColumn(weight, pct(F.col(flagged), F.col("_entity_rows")))

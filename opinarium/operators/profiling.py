@@ -72,72 +72,66 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column.
 
     Quartiles interpolate between neighbours and are exact without gathering a column in one
-    task: a quantile sketch first brackets each of them (its rank error is at most one row
-    in ``accuracy``), rows below the bracket are only counted, and just the distinct values
-    inside it are ordered. A bracket that missed its rank would stop the job.
+    task. A first job computes the moments and a quantile sketch, whose rank error is at most
+    one row in ``accuracy``; its one result row gives each quartile a bracket. After that,
+    rows below a bracket are only counted and just the distinct values inside it are ordered.
+    A bracket that missed its rank would stop the job rather than return an estimate.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     numbers = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}")
                           for i, c in enumerate(names)])
     margin = 2.0 / accuracy
     edges = [min(max(q + side * margin, 0.0), 1.0) for q in QUARTILES for side in (-1, 1)]
-
-    basics = []
-    for i in range(len(names)):
-        c = F.col(f"c{i}")
-        basics += [F.count(c).alias(f"n{i}"), F.avg(c).alias(f"mean{i}"),
-                   F.stddev_samp(c).alias(f"std{i}"), F.min(c).alias(f"min{i}"),
-                   F.max(c).alias(f"max{i}"),
-                   F.percentile_approx(c, edges, accuracy).alias(f"edges{i}")]
-    stats = numbers.agg(*basics)
-    known = _scalar_row(stats)
-    pairs = [(i, q) for i in range(len(names)) for q in range(len(QUARTILES))]
-
-    def bracket(i: int, q: int) -> tuple[Column, Column]:
-        found = known.getField(f"edges{i}")
-        return found.getItem(2 * q), found.getItem(2 * q + 1)
-
-    below = numbers.agg(*[F.count_if(F.col(f"c{i}") < bracket(i, q)[0]).alias(f"b{i}_{q}")
-                          for i, q in pairs])
-    passed = _scalar_row(below)
-
-    inside = F.array_compact(F.array(*[
-        F.when(F.col(f"c{i}").between(*bracket(i, q)),
-               F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"), F.col(f"c{i}").alias("v")))
-        for i, q in pairs]))
-    values = numbers.select(F.inline(inside)).groupBy("i", "q", "v").agg(
-        F.count(F.lit(1)).alias("k"))
-
-    # The row count of the column, and the rows below the bracket, for a row's own i and q.
-    rows_of = F.element_at(F.array(*[known.getField(f"n{i}") for i in range(len(names))]),
-                           F.col("i") + 1)
-    below_of = F.element_at(F.array(*[passed.getField(f"b{i}_{q}") for i, q in pairs]),
-                            F.col("i") * len(QUARTILES) + F.col("q") + 1)
-    point = F.element_at(F.array(*[F.lit(p) for p in QUARTILES]), F.col("q") + 1)
+    basics = [
+        F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"),
+                 F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"),
+                 F.percentile_approx(c, edges, accuracy).alias("edges")).alias(c)
+        for c in numbers.columns]
+    known = numbers.agg(*basics).first()
+
+    # (column, quartile, rank counted from 0, low and high end of the bracket)
+    brackets = [(i, q, point * (known[i]["count"] - 1), *known[i]["edges"][2 * q:2 * q + 2])
+                for i in range(len(names)) if known[i]["count"]
+                for q, point in enumerate(QUARTILES)]
+    below = numbers.agg(*[F.count_if(F.col(f"c{i}") < low).alias(f"b{n}")
+                          for n, (i, _, _, low, _) in enumerate(brackets)] or [F.lit(0)])
+    below = below.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"),
+                 F.lit(None).cast("double").alias("v"), F.col(f"b{n}").alias("k"))
+        for n, (i, q, *_) in enumerate(brackets)]).cast(
+            "array<struct<i:int,q:int,v:double,k:bigint>>")))
+    hits = [F.when(F.col(f"c{i}").between(low, high),
+                   F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"),
+                            F.col(f"c{i}").alias("v")))
+            for i, q, _, low, high in brackets]
+    found = numbers.select(F.inline(F.array_compact(F.array(*hits).cast(
+        "array<struct<i:int,q:int,v:double>>"))))
+    values = found.groupBy("i", "q", "v").agg(F.count(F.lit(1)).alias("k"))
+
+    # The row without a value carries what lies below the bracket and sorts first.
     running = W.partitionBy("i", "q").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = values.withColumn("upto", F.sum("k").over(running) + below_of)
-    ranked = ranked.withColumn("place", point * (rows_of - 1))
-    low, high = F.floor("place"), F.ceil("place")
-    quartiles = ranked.groupBy("i", "q").agg(
-        F.min(F.when(F.col("upto") > low, F.col("v"))).alias("v0"),
-        F.min(F.when(F.col("upto") > high, F.col("v"))).alias("v1"),
-        F.first(F.col("place") - F.floor("place")).alias("part"),
-        F.min(F.col("upto") - F.col("k")).alias("start"),
-        F.first(low).alias("low"),
-    )
-    exact = (F.col("start") <= F.col("low")) & F.col("v1").isNotNull()
-    value = F.when(exact, F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("part")).otherwise(
-        F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double"))
-    points = quartiles.select("i", "q", value.alias("value")).groupBy("i").agg(
-        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{int(100 * p)}")
+    ranked = values.unionByName(below).withColumn("upto", F.sum("k").over(running))
+    ranks = df.sparkSession.createDataFrame(
+        [(i, q, float(rank)) for i, q, rank, _, _ in brackets], "i int, q int, rank double")
+    ranked = ranked.join(F.broadcast(ranks), ["i", "q"])
+    rank, value = F.col("rank"), F.col("v")
+    quartiles = ranked.groupBy("i", "q", "rank").agg(
+        F.min(F.when(F.col("upto") > F.floor(rank), value)).alias("v0"),
+        F.min(F.when(F.col("upto") > F.ceil(rank), value)).alias("v1"),
+        F.max(F.when(value.isNull(), F.col("k"))).alias("start"))
+    exact = (F.col("start") <= F.floor(rank)) & F.col("v1").isNotNull()
+    point = F.when(exact, F.col("v0") + (F.col("v1") - F.col("v0")) * (rank - F.floor(rank)))
+    missed = F.raise_error(F.lit("a quantile bracket missed its rank, raise the accuracy"))
+    quartiles = quartiles.withColumn("point", point.otherwise(missed.cast("double")))
+    points = quartiles.groupBy("i").agg(
+        *[F.max(F.when(F.col("q") == q, F.col("point"))).alias(f"p{int(100 * p)}")
           for q, p in enumerate(QUARTILES)])
 
-    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(name).alias("column_name"),
-                              F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"),
-                              F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"),
-                              F.col(f"max{i}").alias("max"))
-                     for i, name in enumerate(names)])
-    out = stats.select(F.inline(rows)).join(points, "i", "left").orderBy("i")
+    fields = ("count", "mean", "std", "min", "max")
+    table = df.sparkSession.createDataFrame(
+        [(i, name, *[known[i][f] for f in fields]) for i, name in enumerate(names)],
+        "i int, column_name string, count bigint, mean double, std double, min double, max double")
+    out = table.join(points, "i", "left").orderBy("i")
 
     def shown(name: str) -> Column:
         return F.col(name) if digits is None else F.round(name, digits).alias(name)

@@ -1,10 +1,11 @@
 """Exact-size random and stratified samples.
 
 A row's place in the random order is a seeded hash of its key, so a sample does not depend
-on how the data is partitioned. To pick the first rows of a stratum without sorting it, the
-order is cut into cells by the leading hex digits of the hash. Counting rows per stratum and
-cell tells which cells are in or out as a whole; only the cells that a cut runs through are
-sorted, about one cell in 4096 of a stratum's rows.
+on how the data is partitioned. The rows that a stratum gives are always the first ones in
+this order, so a sample is described by one hash bound per stratum, and drawing it is a
+filter. The bounds are found without sorting a stratum: its order is cut into cells by the
+leading hex digits of the hash, rows are counted per cell, and only the hashes in the cell
+that a bound falls into are ordered, about one in 4096.
 """
 
 from __future__ import annotations
@@ -15,13 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from opinarium.functions.measures import pct
 from opinarium.functions.text import is_blank
 from opinarium.schemas import DEFAULT_SAMPLE_SIZE, DEFAULT_SEED, DEFAULT_STRATA
+from opinarium.session import stored
 
 CELL_DIGITS = 3
 # Up to this size a sample is one top-k pass: each task keeps its own first rows.
 TOP_K_LIMIT = 100_000
 _EXPLODE_STEP = 65_536
+# Sorts after every hex digit.
+AFTER_ALL = "~"
 
 
 def order_hash(df: DataFrame, seed: int, key: Sequence[str] | None) -> Column:
@@ -37,54 +42,115 @@ def _clip(value: Column, top: Column) -> Column:
     return F.greatest(F.lit(0), F.least(value, top))
 
 
+def _before(column: str, spec) -> Column:
+    """Sum of a column over all earlier rows."""
+    earlier = spec.rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(earlier), F.lit(0))
+
+
 def _allocate(cells: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
     """How many rows each (stratum, cell) gives to the sample.
 
     Tier 0 are the rows inside their stratum's quota, tier 1 all others. The sample is the
     first ``n`` rows by tier and hash: quotas that add up to more than ``n`` are trimmed and
     a shortfall is filled from tier 1. Rows with a null stratum are always tier 1.
+
+    ``_take`` is the number of tier 0 rows of the cell in this stratum. ``_size0`` and
+    ``_size1`` count the rows of a tier in this cell over all strata, ``_limit0`` and
+    ``_limit1`` those of them that are in the sample.
     """
     count, take = F.col("_count"), F.col("_take")
+    everything = W.partitionBy(F.lit(0))
     if strata:
-        whole = cells.agg(F.sum("_count")).scalar()
-        fraction = F.least(F.lit(float(n)) / whole, F.lit(1.0))
+        # One row per cell, so at most 16 ** CELL_DIGITS rows are broadcast.
+        whole = cells.groupBy("_cell").agg(F.sum("_count").alias("_size")).select(
+            "_cell", F.sum("_size").over(everything).alias("_whole"))
+        cells = cells.join(F.broadcast(whole), "_cell").drop("_size")
+        fraction = F.least(F.lit(float(n)) / F.col("_whole"), F.lit(1.0))
         by_stratum = W.partitionBy(*strata)
-        earlier = by_stratum.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
         named = F.lit(True)
         for name in strata:
             named = named & F.col(name).isNotNull()
         quota = F.bround(fraction * F.sum("_count").over(by_stratum), 0).cast("bigint")
-        before = F.coalesce(F.sum("_count").over(earlier), F.lit(0))
-        cells = cells.withColumn(
-            "_take", F.when(named, _clip(quota - before, count)).otherwise(F.lit(0)))
+        inside = _clip(quota - _before("_count", by_stratum.orderBy("_cell")), count)
+        cells = cells.withColumn("_take", F.when(named, inside).otherwise(F.lit(0)))
     else:
         cells = cells.withColumn("_take", F.lit(0).cast("bigint"))
 
-    # One row per cell, so at most 16 ** CELL_DIGITS rows in this window.
+    # Again one row per cell.
     tiers = cells.groupBy("_cell").agg(
         F.sum("_take").alias("_size0"), F.sum(count - take).alias("_size1"))
-    everything = W.partitionBy(F.lit(0))
-    running = everything.orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-
-    def before_cell(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(running), F.lit(0))
-
+    in_order = everything.orderBy("_cell")
+    quotas = F.sum("_size0").over(everything)
     tiers = tiers.select(
         "_cell", "_size0", "_size1",
-        _clip(n - before_cell("_size0"), F.col("_size0")).alias("_limit0"),
-        _clip(n - F.sum("_size0").over(everything) - before_cell("_size1"), F.col("_size1"))
-        .alias("_limit1"),
+        _clip(n - _before("_size0", in_order), F.col("_size0")).alias("_limit0"),
+        _clip(n - quotas - _before("_size1", in_order), F.col("_size1")).alias("_limit1"),
     )
-    out = cells.join(F.broadcast(tiers), "_cell")
-    return out.filter(((take > 0) & (F.col("_limit0") > 0))
-                      | ((take < count) & (F.col("_limit1") > 0)))
+    return cells.join(F.broadcast(tiers), "_cell")
+
+
+def _same_stratum(strata: Sequence[str], prefix: str) -> Column:
+    """Null-safe match: rows without a stratum form a group of their own."""
+    match = F.lit(True)
+    for i, name in enumerate(strata):
+        match = match & F.col(name).eqNullSafe(F.col(f"{prefix}{i}"))
+    return match
+
+
+def _renamed(df: DataFrame, strata: Sequence[str], prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({name: f"{prefix}{i}" for i, name in enumerate(strata)})
+
+
+def _bounds(rows: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
+    """One row per stratum: the first hash that is not in the sample as a whole.
+
+    ``_times`` is the number of rows with exactly this hash that are still in. The tables of
+    cells and bounds are stored: they are small next to the rows, and once their size is
+    known the rows meet them in a broadcast join and are not shuffled.
+    """
+    cells = rows.groupBy(*strata, "_cell").agg(F.count(F.lit(1)).alias("_count"))
+    plan = stored(_allocate(cells, strata, n), "sample-cells")
+    count, take = F.col("_count"), F.col("_take")
+    no_tier0, no_tier1 = take == 0, take == count
+    all_in = ((no_tier0 | (F.col("_limit0") == F.col("_size0")))
+              & (no_tier1 | (F.col("_limit1") == F.col("_size1"))))
+    all_out = ((no_tier0 | (F.col("_limit0") == 0)) & (no_tier1 | (F.col("_limit1") == 0)))
+
+    # Hashes in the cells that a cut runs through. Copies of a row are counted, not listed.
+    numbers = ["_take", "_size0", "_size1", "_limit0", "_limit1"]
+    open_cells = _renamed(plan.filter(~all_in & ~all_out), strata, "_o").select(
+        *[f"_o{i}" for i in range(len(strata))], F.col("_cell").alias("_open"), *numbers)
+    match = _same_stratum(strata, "_o") & (F.col("_cell") == F.col("_open"))
+    cut = rows.select(*strata, "_cell", "_hash").join(open_cells, match).groupBy(
+        *strata, "_cell", "_hash", *numbers).agg(F.count(F.lit(1)).alias("_rows"))
+    in_cell = W.partitionBy(*strata, "_cell").orderBy("_hash")
+    cut = cut.withColumn("_first", _clip(take - _before("_rows", in_cell), F.col("_rows")))
+    tiers = [F.struct(F.lit(t).alias("_tier"), part.alias("_part"),
+                      F.col(f"_size{t}").alias("_size"), F.col(f"_limit{t}").alias("_limit"))
+             for t, part in ((0, F.col("_first")), (1, F.col("_rows") - F.col("_first")))]
+    cut = cut.select(*strata, "_cell", "_hash", "_rows", F.inline(F.array(*tiers)))
+    in_tier = W.partitionBy("_tier", "_cell").orderBy("_hash", *strata)
+    inside = _clip(F.col("_limit") - _before("_part", in_tier), F.col("_part"))
+    cut = cut.withColumn("_times", F.when(F.col("_limit") == F.col("_size"), F.col("_part"))
+                         .otherwise(inside))
+    cut = cut.groupBy(*strata, "_hash", "_rows").agg(F.sum("_times").alias("_times"))
+
+    none = F.lit(0).cast("bigint").alias("_times")
+    ends = plan.select(*strata, F.when(all_out, F.col("_cell")).otherwise(F.lit(AFTER_ALL))
+                       .alias("_bound"), none)
+    ends = ends.unionByName(cut.filter(F.col("_times") < F.col("_rows")).select(
+        *strata, F.col("_hash").alias("_bound"), "_times"))
+    bounds = ends.groupBy(*strata).agg(
+        F.min("_bound").alias("_bound"), F.min_by("_times", "_bound").alias("_times"))
+    return stored(bounds, "sample-bounds")
 
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as its ``times`` column says, in steps that keep arrays short."""
-    last = (F.col(times) - 1) / _EXPLODE_STEP
+    last = F.floor((F.col(times) - 1) / _EXPLODE_STEP)
     steps = df.filter(F.col(times) > 0).withColumn(
-        "_step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last).cast("bigint"))))
+        "_step", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     left = F.col(times) - F.col("_step") * _EXPLODE_STEP
     return steps.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"),
@@ -96,51 +162,31 @@ def exact_sample(df: DataFrame, n: int, strata: Sequence[str] = (), seed: int =
     """Exactly ``min(n, rows)`` rows, spread over the strata by their share of all rows.
 
     ``key`` names columns that identify a row. Without it the whole row is hashed; equal
-    rows are then interchangeable and travel as one row with a count, so copies never pile
-    up in one task.
+    rows are then interchangeable and are counted before they are moved, so copies never
+    pile up in one task. The bounds are computed right away, from the key and the strata
+    alone; the result is a filter over the rows.
     """
     columns = df.columns
     rows = df.withColumn("_hash", order_hash(df, seed, key))
     rows = rows.withColumn("_cell", F.substring("_hash", 1, CELL_DIGITS))
-    cells = rows.groupBy(*strata, "_cell").agg(F.count(F.lit(1)).alias("_count"))
-    plan = _allocate(cells, strata, n)
-
-    # Strata compare null-safe: rows without a stratum form a group of their own.
-    renamed = plan.select(*[F.col(s).alias(f"_s{i}") for i, s in enumerate(strata)],
-                          F.col("_cell").alias("_plan_cell"), "_count", "_take",
-                          "_size0", "_size1", "_limit0", "_limit1")
-    match = F.col("_cell") == F.col("_plan_cell")
-    for i, name in enumerate(strata):
-        match = match & F.col(name).eqNullSafe(F.col(f"_s{i}"))
-    chosen = rows.join(renamed, match)
-
-    count, take = F.col("_count"), F.col("_take")
-    # A cell is in as a whole if every tier it has rows of is in as a whole.
-    as_whole = (((take == 0) | (F.col("_limit0") == F.col("_size0")))
-                & ((take == count) | (F.col("_limit1") == F.col("_size1"))))
-    sure = chosen.filter(as_whole).select(*columns)
-
-    cut = chosen.filter(~as_whole).groupBy(
-        *columns, "_hash", "_cell", "_take", "_size0", "_size1", "_limit0", "_limit1"
-    ).agg(F.count(F.lit(1)).alias("_rows"))
-    cut = cut.withColumn("_tie", F.xxhash64(*columns))
-    in_cell = W.partitionBy(*strata, "_cell").orderBy("_hash", "_tie").rowsBetween(
-        W.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(in_cell), F.lit(0))
-    cut = cut.withColumn("_first", _clip(take - before, F.col("_rows")))
-    tier = [F.struct(F.lit(t).alias("_tier"), part.alias("_part"),
-                     F.col(f"_size{t}").alias("_size"), F.col(f"_limit{t}").alias("_limit"))
-            for t, part in ((0, F.col("_first")), (1, F.col("_rows") - F.col("_first")))]
-    cut = cut.select(*columns, "_hash", "_tie", "_cell", F.inline(F.array(*tier)))
-    cut = cut.filter((F.col("_part") > 0) & (F.col("_limit") > 0))
-    in_tier = W.partitionBy("_tier", "_cell").orderBy("_hash", "_tie").rowsBetween(
-        W.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_part").over(in_tier), F.lit(0))
-    # A tier that is in as a whole takes all its rows, whatever cells they were cut from.
-    cut = cut.withColumn(
-        "_times", F.when(F.col("_limit") == F.col("_size"), F.col("_part"))
-        .otherwise(_clip(F.col("_limit") - before, F.col("_part"))))
-    return sure.unionByName(_repeat(cut, "_times").select(*columns))
+    bounds = _bounds(rows, strata, n)
+    if strata:
+        bounded = rows.join(_renamed(bounds, strata, "_b"), _same_stratum(strata, "_b"))
+    else:
+        bounded = rows.withColumn("_bound", bounds.select("_bound").scalar())
+    sure = bounded.filter(F.col("_hash") < F.col("_bound")).select(*columns)
+    ties = bounds.filter(F.col("_times") > 0)
+    if ties.isEmpty():
+        return sure
+
+    # Where a bound falls between copies of one row, some of the copies are in.
+    split = rows.join(_renamed(ties, strata, "_b"),
+                      _same_stratum(strata, "_b") & (F.col("_hash") == F.col("_bound")))
+    split = split.groupBy(*columns, "_hash", "_times").agg(F.count(F.lit(1)).alias("_rows"))
+    in_tie = W.partitionBy(*strata, "_hash").orderBy(F.xxhash64(*columns))
+    split = split.withColumn(
+        "_copies", _clip(F.col("_times") - _before("_rows", in_tie), F.col("_rows")))
+    return sure.unionByName(_repeat(split, "_copies").select(*columns))
 
 
 def random_sample(df: DataFrame, n: int, seed: int = DEFAULT_SEED,
@@ -175,9 +221,8 @@ def sample_balance(population: DataFrame, sample: DataFrame,
         sample.select(*strata, F.lit(0).alias("_pop"), F.lit(1).alias("_smp")))
     counts = both.groupBy(*strata).agg(
         F.sum("_pop").alias("population_rows"), F.sum("_smp").alias("sample_rows"))
-    for side in ("population", "sample"):
-        whole = counts.agg(F.sum(f"{side}_rows")).scalar()
-        counts = counts.withColumn(
-            f"{side}_pct",
-            F.round(F.try_divide(F.lit(100.0) * F.col(f"{side}_rows"), whole), 2))
-    return counts.orderBy(*strata)
+    whole = counts.agg(F.struct(F.sum("population_rows").alias("population"),
+                                F.sum("sample_rows").alias("sample")).alias("w")).scalar()
+    return counts.select(*strata, "population_rows", "sample_rows", *[
+        pct(F.col(f"{side}_rows"), whole.getField(side)).alias(f"{side}_pct")
+        for side in ("population", "sample")]).orderBy(*strata)

@@ -92,7 +92,7 @@ def fixture_extractor() -> extraction.Extractor:
 def run_extractor(spark: SparkSession, sf: str) -> DataFrame:
     policy = extraction.CallPolicy(pace=0.0)
     answers = extraction.extract_reviews(fx.reviews(spark, sf), fixture_extractor, "fixture",
-                                         policy)
+                                         policy, spark.sparkContext.defaultParallelism)
     valid = extraction.valid_answers(extraction.parse_answers(answers))
     return extraction.aspect_rows(valid, keep_empty=True,
                                   extra=["overall_sentiment", "extraction_method", "attempts"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks the join side to broadcast from measured sizes, splits skewed
 # join partitions and merges small ones; the zone only matters where a zoned column is read.
@@ -45,3 +45,14 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="opinarium-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Computes a table once, writes it to the shared folder and reads it from there.
+
+    Later plans see its true size, so a small one is broadcast before a large table is
+    shuffled for it, and losing an executor does not bring the work back.
+    """
+    path = working_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

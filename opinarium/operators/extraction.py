@@ -140,7 +140,12 @@ def parse_answers(answers: DataFrame, check_vocabulary: bool = True) -> DataFram
     are normalised before the vocabulary check.
     """
     doc, items = F.col("_doc"), F.col("_items")
-    parsed = answers.withColumn("_doc", F.try_parse_json("raw"))
+    # The JSON parser stops after the first value. Only a text that is one value and nothing
+    # else parses both as the sole element of a list and as the sole field of an object.
+    raw = F.col("raw")
+    alone = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))).isNotNull()
+    field_of = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
+    parsed = answers.withColumn("_doc", F.when(alone, _part(field_of, "v")))
     parsed = parsed.withColumns({
         "overall_sentiment": label(_string(doc, "overall_sentiment")),
         "_list": _part(doc, "aspects"),
@@ -160,7 +165,7 @@ def parse_answers(answers: DataFrame, check_vocabulary: bool = True) -> DataFram
     has_list = F.col("_list").isNotNull()
     is_object = F.coalesce(_kind(doc).startswith("OBJECT"), F.lit(False))
     error = (
-        F.when(F.col("raw").isNull(), "no_answer")
+        F.when(raw.isNull(), "no_answer")
         .when(doc.isNull(), "invalid_json")
         .when(~is_object, "not_an_object")
         .when(~_is(_part(doc, "overall_sentiment"), "STRING"), "overall_sentiment_missing")

@@ -90,9 +90,15 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
     known = numbers.agg(*basics).first()
 
     # (column, quartile, rank counted from 0, low and high end of the bracket)
-    brackets = [(i, q, point * (known[i]["count"] - 1), *known[i]["edges"][2 * q:2 * q + 2])
-                for i in range(len(names)) if known[i]["count"]
-                for q, point in enumerate(QUARTILES)]
+    brackets = []
+    for i, column in enumerate(known):
+        for q, point in enumerate(QUARTILES if column["count"] else ()):
+            if column["count"] <= 4 * accuracy:
+                # So few values that the margin could be less than a row: order them all.
+                low, high = column["min"], column["max"]
+            else:
+                low, high = column["edges"][2 * q:2 * q + 2]
+            brackets.append((i, q, point * (column["count"] - 1), low, high))
     below = numbers.agg(*[F.count_if(F.col(f"c{i}") < low).alias(f"b{n}")
                           for n, (i, _, _, low, _) in enumerate(brackets)] or [F.lit(0)])
     below = below.select(F.inline(F.array(*[

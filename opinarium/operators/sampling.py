@@ -194,8 +194,7 @@ def random_sample(df: DataFrame, n: int, seed: int = DEFAULT_SEED,
     """``min(n, rows)`` rows in a seeded random order."""
     if n > TOP_K_LIMIT:
         return exact_sample(df, n, (), seed, key)
-    tie = F.xxhash64(*df.columns)
-    return df.orderBy(order_hash(df, seed, key), tie).limit(n)
+    return df.orderBy(order_hash(df, seed, key), *(key or [])).limit(n)
 
 
 def stratified_sample(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE,

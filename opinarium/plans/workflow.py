@@ -31,21 +31,23 @@ def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory,
 
     The work is done in rounds of about ``checkpoint_rows`` reviews; a finished round is
     never repeated. An error ends the run after its round is stored, unless the policy
-    rejects single reviews; the next run tries them again. Returns the number of reviews
-    requested, done before and remaining at the start.
+    rejects single reviews; the next run tries them again. A repeated review id is extracted
+    once. Returns the rows requested, done before and remaining at the start.
     """
     spark = reviews.sparkSession
     answers, pending = f"{path}/answers", f"{path}/pending"
     done = read_or_empty(spark, answers, RAW_EXTRACTIONS).filter(F.col("error").isNull())
-    wanted = first_per_key(reviews, ["review_id"], [])
-    counts = resume_counts(wanted, done).first().asDict()
+    counts = resume_counts(reviews, done).first().asDict()
     if counts["remaining"] == 0:
         return counts
 
     rounds = math.ceil(counts["remaining"] / checkpoint_rows)
-    todo = pending_reviews(wanted, done).select("review_id", "review_text")
-    todo = todo.withColumn("round", F.pmod(F.xxhash64("review_id"), F.lit(rounds)).cast("int"))
-    todo.write.mode("overwrite").partitionBy("round").parquet(pending)
+    todo = pending_reviews(reviews, done).select(
+        ex.id_key(F.col("review_id")).alias("review_id"), "review_text")
+    todo = first_per_key(todo, ["review_id"], []).withColumn(
+        "round", F.pmod(F.xxhash64("review_id"), F.lit(rounds)).cast("int"))
+    # One file per round: a round is no larger than a checkpoint.
+    todo.repartition("round").write.mode("overwrite").partitionBy("round").parquet(pending)
     if policy.on_error == ex.FAIL:
         policy = replace(policy, on_error=ex.STOP)
     for number in range(rounds):

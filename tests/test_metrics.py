@@ -1,0 +1,186 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from opinarium.functions import measures
+from opinarium.operators import metrics as m
+from opinarium.plans import analysis as a
+from tests.plans import executed
+
+
+def ratio(spark, part, whole):
+    df = spark.createDataFrame([(part, whole)], "a bigint, b bigint")
+    return df.select(measures.pct(F.col("a"), F.col("b"))).first()[0]
+
+
+@pytest.mark.parametrize("part, whole, expected", [
+    (733, 970, 75.57), (123, 970, 12.68), (104, 970, 10.72), (10, 970, 1.03),
+    (905, 970, 93.3), (65, 970, 6.7),
+    (4, 7, 57.14), (4, 21, 19.05), (5, 12, 41.67), (5, 35, 14.29), (4, 5, 80.0),
+    (4, 35, 11.43), (6, 14, 42.86), (6, 43, 13.95),
+    (1, 4000, 0.03), (3, 4000, 0.08), (20001, 60000, 33.34), (1, 8, 12.5), (0, 3, 0.0),
+])
+def test_percentages(spark, part, whole, expected):
+    """Known shares, and ties that round half up."""
+    assert ratio(spark, part, whole) == expected
+
+
+def test_percentage_of_nothing_is_null(spark):
+    assert ratio(spark, 0, 0) is None
+
+
+def test_discount_bands(spark):
+    rows = [(None, 1.0), (0.0, 1.0), (-5.0, 1.0), (100.0, None), (100.0, 120.0), (100.0, 100.0),
+            (100.0, 99.0), (100.0, 90.0), (100.0, 80.0), (100.0, 70.0), (100.0, 69.0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, mrp double, price double")
+    band = measures.band(measures.discount_pct(F.col("mrp"), F.col("price")),
+                         measures.DISCOUNT_EDGES, measures.DISCOUNT_BANDS, measures.UNKNOWN_BAND)
+    got = [r[0] for r in df.orderBy("i").select(band).collect()]
+    assert got == ["Unknown"] * 4 + ["No discount"] * 2 + ["0-10%", "0-10%", "10-20%", "20-30%", "30%+"]
+
+
+def test_band_needs_matching_labels():
+    with pytest.raises(ValueError):
+        measures.band(F.lit(1), [0, 1], ["a"])
+
+
+@pytest.fixture(scope="module")
+def reviews(spark):
+    return spark.createDataFrame([
+        ("1", "p1", "B", "One", 5.0, "positive"), ("2", "p1", "B", "One", 1.0, "negative"),
+        ("3", "p1", "B", "One", 1.0, "mixed"), ("4", "p2", "C", "Two", None, "positive"),
+        ("5", "p2", "C", "Two", 5.0, "positive"), ("6", None, None, "Lost", 5.0, "neutral"),
+    ], "review_id string, product_id string, brand_name string, product_title string, "
+       "review_rating double, overall_sentiment string")
+
+
+@pytest.fixture(scope="module")
+def aspects(spark):
+    rows = [("1", "finish", "positive")] * 3 + [("2", "finish", "negative")] * 4
+    rows += [("3", "shade", "neutral")] * 14 + [("4", "shade", "negative"), ("6", "shade", "negative")]
+    return spark.createDataFrame([(*r, None) for r in rows],
+                                 "review_id string, aspect string, aspect_sentiment string, issue string")
+
+
+def test_rank_ties_leave_gaps(spark, reviews):
+    rows = a.product_sentiment_rank(reviews).filter("product_id = 'p1'").collect()
+    assert [r["sentiment_rank"] for r in rows] == [1, 1, 1]
+    extra = reviews.unionByName(reviews.filter("review_id = '2'"))
+    rows = a.product_sentiment_rank(extra).filter("product_id = 'p1'").collect()
+    assert [(r["overall_sentiment"], r["sentiment_rank"]) for r in rows] == [
+        ("negative", 1), ("mixed", 2), ("positive", 2)]
+
+
+def test_null_keys_drop_out_where_totals_are_joined(reviews, aspects):
+    for df in (a.product_sentiment_rank(reviews), a.product_sentiment_weight(reviews, aspects),
+               a.priority_pain_points(reviews, aspects, min_mentions=0)):
+        assert all(r["product_id"] is not None for r in df.collect())
+    assert a.product_aspect_mentions(reviews, aspects).filter("product_id is null").count() == 1
+    assert a.rating_alignment(reviews).filter("review_rating is null").count() == 0
+
+
+def test_rate_and_weight(reviews, aspects):
+    """7 finish mentions, 4 of them negative, among 21 mentions of the product."""
+    row = a.priority_pain_points(reviews, aspects).first()
+    assert row.asDict() == {
+        "product_id": "p1", "brand_name": "B", "product_title": "One", "aspect": "finish",
+        "aspect_mentions": 7, "negative_mentions": 4, "negative_rate_pct": 57.14,
+        "negative_weight_pct": 19.05}
+
+
+def test_totals_count_filtered_facets(reviews, aspects):
+    kept = a.priority_pain_points(reviews, aspects, min_mentions=3).collect()
+    assert [(r["aspect"], r["negative_weight_pct"]) for r in kept] == [("finish", 19.05)]
+
+
+def test_keep_zero(reviews, aspects):
+    base = a.mentions(reviews, aspects)
+    flag = F.col("aspect_sentiment") == "negative"
+    rows = m.rate_and_weight(base, ["product_id"], ["product_id", "aspect"], flag, "n", "neg",
+                             "rate", "weight", keep_zero=True).collect()
+    assert {(r["product_id"], r["aspect"]): r["neg"] for r in rows} == {
+        ("p1", "finish"): 4, ("p1", "shade"): 0, ("p2", "shade"): 1}
+
+
+def test_shares_of_a_group_add_up_and_weight_is_at_most_rate(reviews, aspects):
+    shares = a.product_sentiment_weight(reviews, aspects).groupBy("product_id").agg(
+        F.sum("sentiment_weight_pct").alias("s")).collect()
+    assert all(abs(r["s"] - 100) < 0.05 for r in shares)
+    for r in a.priority_pain_points(reviews, aspects, min_mentions=0).collect():
+        assert r["negative_weight_pct"] <= r["negative_rate_pct"]
+
+
+def test_coverage(reviews, aspects):
+    row = a.aspect_coverage(reviews, aspects).first()
+    assert tuple(row) == (6, 5, 1, 83.33, 16.67)
+
+
+def test_dominant_class_tie_goes_to_first_label(reviews):
+    rows = {r["review_rating"]: r["overall_sentiment"]
+            for r in a.dominant_sentiment_by_rating(reviews).collect()}
+    assert rows == {1.0: "mixed", 5.0: "positive"}
+
+
+def test_top_and_brand_filters(reviews, aspects):
+    assert a.aspect_frequency(aspects, top=1).collect()[0]["aspect"] == "shade"
+    only = a.priority_pain_points(reviews, aspects, min_mentions=0, brands=["C"]).collect()
+    assert {r["brand_name"] for r in only} == {"C"}
+    assert a.for_brands(reviews, None) is reviews
+    texts = reviews.withColumn("review_text", F.lit("t"))
+    issues = aspects.withColumn("issue", F.lit("x"))
+    assert a.complaint_drilldown(texts, issues, ["C"], "shade").count() == 1
+
+
+def test_percentages_are_doubles(reviews, aspects):
+    assert dict(a.overall_sentiment(reviews).dtypes)["percentage"] == "double"
+    assert dict(a.product_sentiment_rank(reviews).dtypes)["sentiment_rank"] == "bigint"
+
+
+def test_pain_points_read_each_table_once(spark, tmp_path, reviews, aspects):
+    reviews.write.parquet(str(tmp_path / "r"))
+    aspects.write.parquet(str(tmp_path / "a"))
+    stored = [spark.read.parquet(str(tmp_path / x)) for x in "ra"]
+    for query in (a.priority_pain_points, a.brand_pain_points, a.product_sentiment_weight):
+        plan = executed(query(*stored))
+        assert plan.count("FileScan") == 2, plan
+        assert "ReusedExchange" in plan
+    assert executed(a.overall_sentiment(stored[0])).count("FileScan") <= 1
+
+
+def test_group_totals_without_gathering_open_groups(reviews, aspects):
+    plan = executed(a.priority_pain_points(reviews, aspects))
+    assert "Window" not in plan
+
+
+@pytest.fixture
+def tiny_skew_limits(spark):
+    """Settings under which a few kilobytes already count as a skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_review_with_a_third_of_all_mentions_is_split(spark, tiny_skew_limits):
+    reviews = spark.range(0, 3000, 1, 4).select(
+        F.col("id").cast("string").alias("review_id"), (F.col("id") % 50).cast("string").alias("product_id"),
+        F.lit("b").alias("brand_name"), F.lit("t").alias("product_title"))
+    aspects = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "7").otherwise((F.col("id") % 3000).cast("string")).alias("review_id"),
+        F.concat(F.lit("a"), (F.col("id") % 17).cast("string")).alias("aspect"),
+        F.when(F.col("id") % 5 == 0, "negative").otherwise("positive").alias("aspect_sentiment"))
+    out = a.priority_pain_points(reviews, aspects)
+    plan = executed(out)
+    assert "SortMergeJoin(skew=true)" in plan
+    total = out.filter("product_id = '7'").agg(F.sum("aspect_mentions")).first()[0]
+    assert total == 20_000 + sum(1 for i in range(60_000) if i % 3 and i % 3000 % 50 == 7)

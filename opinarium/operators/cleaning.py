@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinarium.functions.once import computed_once
 from opinarium.functions.parse import to_boolean, to_number, to_timestamp
 from opinarium.functions.text import remove_tags, strip
 from opinarium.schemas import RATING_MAX, RATING_MIN
@@ -40,6 +41,8 @@ def standardise(df: DataFrame, date_formats: Sequence[str] = (),
                                         date_formats)
     for name in FLAG_COLUMNS:
         rules[name] = to_boolean(F.col(name), dtypes.get(name), missing_flag)
+    # Tag removal is the costly rule, and rows are filtered by its result.
+    df = computed_once(df, {"review_text": rules.pop("review_text")})
     return df.withColumns({name: rule for name, rule in rules.items() if name in dtypes})
 
 

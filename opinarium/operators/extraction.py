@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinarium.functions.once import computed_once
 from opinarium.functions.text import id_key, label, snake_label
 from opinarium.schemas import ASPECT_SENTIMENTS, OVERALL_SENTIMENTS, RAW_EXTRACTIONS
 
@@ -110,26 +111,22 @@ def extract_reviews(reviews: DataFrame, factory: ExtractorFactory, method: str,
 
 # --- parsing --------------------------------------------------------------------------
 
+# The fields of an answer, each still with its own JSON type.
+ANSWER_FIELDS = ("struct<overall_sentiment variant, aspects array<struct<"
+                 "aspect variant, aspect_sentiment variant, issue variant>>>")
+ASPECT_LIST = "array<struct<aspect:string,aspect_sentiment:string,issue:string>>"
 
-def _kind(value: Column) -> Column:
-    """JSON type name of a variant, e.g. STRING; null if there is no such field."""
-    return F.schema_of_variant(value)
 
+def _is_string(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
-def _part(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f"$.{name}", "variant")
 
-
-def _string(value: Column, name: str) -> Column:
-    return F.try_variant_get(value, f"$.{name}", "string")
-
-
-def _is(value: Column, kind: str) -> Column:
-    return F.coalesce(_kind(value) == kind, F.lit(False))
-
-
-def _null_or_missing(value: Column) -> Column:
-    return value.isNull() | F.coalesce(_kind(value) == "VOID", F.lit(False))
+def _wrong_item(item: Column) -> Column:
+    """True for an aspect that lacks a field or has one of the wrong type."""
+    # A missing issue has no type at all, a JSON null has the type VOID.
+    issue = F.coalesce(F.schema_of_variant(item["issue"]), F.lit("VOID"))
+    return ~(_is_string(item["aspect"]) & _is_string(item["aspect_sentiment"])
+             & issue.isin("STRING", "VOID"))
 
 
 def parse_answers(answers: DataFrame, check_vocabulary: bool = True) -> DataFrame:
@@ -139,55 +136,45 @@ def parse_answers(answers: DataFrame, check_vocabulary: bool = True) -> DataFram
     must be there, ``aspects`` may be missing but not null, ``issue`` may be either. Labels
     are normalised before the vocabulary check.
     """
-    doc, items = F.col("_doc"), F.col("_items")
     # The JSON parser stops after the first value. Only a text that is one value and nothing
     # else parses both as the sole element of a list and as the sole field of an object.
-    raw = F.col("raw")
+    raw, doc, fields = F.col("raw"), F.col("_doc"), F.col("_fields")
     alone = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))).isNotNull()
     field_of = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
-    parsed = answers.withColumn("_doc", F.when(alone, _part(field_of, "v")))
-    parsed = parsed.withColumns({
-        "overall_sentiment": label(_string(doc, "overall_sentiment")),
-        "_list": _part(doc, "aspects"),
-        "_items": F.try_variant_get(doc, "$.aspects", "array<variant>"),
-    })
+    parsed = answers.withColumn(
+        "_doc", F.when(alone, F.try_variant_get(field_of, "$.v", "variant")))
+    parsed = parsed.withColumn("_fields", F.try_variant_get(doc, "$", ANSWER_FIELDS))
+
+    items, given = fields["aspects"], F.try_variant_get(doc, "$.aspects", "variant")
+    overall = label(fields["overall_sentiment"].cast("string"))
     aspects = F.transform(items, lambda a: F.struct(
-        snake_label(_string(a, "aspect")).alias("aspect"),
-        label(_string(a, "aspect_sentiment")).alias("aspect_sentiment"),
-        _string(a, "issue").alias("issue")))
-
-    def wrong_item(item: Column) -> Column:
-        issue = _part(item, "issue")
-        return ~(_is(_part(item, "aspect"), "STRING")
-                 & _is(_part(item, "aspect_sentiment"), "STRING")
-                 & (_null_or_missing(issue) | _is(issue, "STRING")))
-
-    has_list = F.col("_list").isNotNull()
-    is_object = F.coalesce(_kind(doc).startswith("OBJECT"), F.lit(False))
+        snake_label(a["aspect"].cast("string")).alias("aspect"),
+        label(a["aspect_sentiment"].cast("string")).alias("aspect_sentiment"),
+        a["issue"].cast("string").alias("issue")))
+    aspects = F.coalesce(aspects, F.array().cast(ASPECT_LIST))
+
+    complete = (fields.isNotNull() & _is_string(fields["overall_sentiment"])
+                & F.when(items.isNull(), given.isNull())
+                .otherwise(~F.exists(items, _wrong_item)))
+    kind = F.schema_of_variant(doc)
+    stated = F.try_variant_get(doc, "$.overall_sentiment", "variant")
+    error = F.when(complete, None)
+    if check_vocabulary:
+        error = F.when(complete, F.when(
+            ~overall.isin(*OVERALL_SENTIMENTS), "overall_sentiment_unknown"
+        ).when(F.exists(aspects, lambda a: ~a["aspect_sentiment"].isin(*ASPECT_SENTIMENTS)),
+               "aspect_sentiment_unknown"))
     error = (
-        F.when(raw.isNull(), "no_answer")
+        error.when(raw.isNull(), "no_answer")
         .when(doc.isNull(), "invalid_json")
-        .when(~is_object, "not_an_object")
-        .when(~_is(_part(doc, "overall_sentiment"), "STRING"), "overall_sentiment_missing")
-        .when(has_list & items.isNull(), "aspects_not_a_list")
-        .when(has_list & F.exists(items, wrong_item), "aspect_incomplete")
-    )
-    parsed = parsed.withColumn("_aspects", F.coalesce(aspects, F.array().cast(
-        "array<struct<aspect:string,aspect_sentiment:string,issue:string>>")))
-    if check_vocabulary:
-        error = (
-            error.when(~F.col("overall_sentiment").isin(*OVERALL_SENTIMENTS),
-                       "overall_sentiment_unknown")
-            .when(F.exists("_aspects",
-                           lambda a: ~a["aspect_sentiment"].isin(*ASPECT_SENTIMENTS)),
-                  "aspect_sentiment_unknown")
-        )
-    return (
-        parsed.withColumn("_error", error)
-        .select(*[c for c in answers.columns if c not in ("error", "aspects")],
-                "overall_sentiment", F.col("_aspects").alias("aspects"),
-                F.col("_error").alias("error"))
+        .when(~F.coalesce(kind.startswith("OBJECT"), F.lit(False)), "not_an_object")
+        .when(~_is_string(stated), "overall_sentiment_missing")
+        .when(~F.schema_of_variant(given).startswith("ARRAY"), "aspects_not_a_list")
+        .otherwise("aspect_incomplete")
     )
+    results = {"overall_sentiment": overall, "aspects": aspects, "error": error}
+    parsed = computed_once(parsed, results)
+    return parsed.select(*[c for c in answers.columns if c not in results], *results)
 
 
 def valid_answers(parsed: DataFrame) -> DataFrame:

@@ -62,11 +62,8 @@ def _allocate(cells: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
     count, take = F.col("_count"), F.col("_take")
     everything = W.partitionBy(F.lit(0))
     if strata:
-        # One row per cell, so at most 16 ** CELL_DIGITS rows are broadcast.
-        whole = cells.groupBy("_cell").agg(F.sum("_count").alias("_size")).select(
-            "_cell", F.sum("_size").over(everything).alias("_whole"))
-        cells = cells.join(F.broadcast(whole), "_cell").drop("_size")
-        fraction = F.least(F.lit(float(n)) / F.col("_whole"), F.lit(1.0))
+        whole = cells.agg(F.sum("_count")).scalar()
+        fraction = F.least(F.lit(float(n)) / whole, F.lit(1.0))
         by_stratum = W.partitionBy(*strata)
         named = F.lit(True)
         for name in strata:
@@ -77,7 +74,7 @@ def _allocate(cells: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
     else:
         cells = cells.withColumn("_take", F.lit(0).cast("bigint"))
 
-    # Again one row per cell.
+    # One row per cell, so at most 16 ** CELL_DIGITS rows are ordered and broadcast.
     tiers = cells.groupBy("_cell").agg(
         F.sum("_take").alias("_size0"), F.sum(count - take).alias("_size1"))
     in_order = everything.orderBy("_cell")

@@ -8,6 +8,8 @@ from itertools import zip_longest
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from opinarium.functions.parse import nan_to_null
+
 # Upper edges (inclusive) and names of the discount bands, in report order.
 DISCOUNT_EDGES = (0, 10, 20, 30)
 DISCOUNT_BANDS = ("No discount", "0-10%", "10-20%", "20-30%", "30%+")
@@ -19,12 +21,9 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(F.lit(100.0) * part, whole), digits)
 
 
-def count_where(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def discount_pct(mrp: Column, price: Column) -> Column:
     """Listed discount in percent; null unless both prices are known and mrp is positive."""
+    mrp, price = nan_to_null(mrp), nan_to_null(price)
     known = mrp.isNotNull() & (mrp > 0) & price.isNotNull()
     return F.when(known, F.lit(100.0) * (mrp - price) / mrp)
 

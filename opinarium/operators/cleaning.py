@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.functions.once import computed_once
-from opinarium.functions.parse import to_boolean, to_number, to_timestamp
+from opinarium.functions.parse import nan_to_null, to_boolean, to_number, to_timestamp
 from opinarium.functions.text import remove_tags, strip
 from opinarium.schemas import RATING_MAX, RATING_MIN
 
@@ -107,7 +107,7 @@ def long_report(df: DataFrame, names: Sequence[str],
 
 def price_anomalies(df: DataFrame) -> DataFrame:
     """Counts odd prices. It is an audit: no row is changed or removed."""
-    mrp, price = F.col("mrp"), F.col("price")
+    mrp, price = nan_to_null(F.col("mrp")), nan_to_null(F.col("price"))
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(mrp.isNull()).alias("mrp_missing"),

@@ -20,7 +20,7 @@ from opinarium.schemas import (
     DEFAULT_STRATA,
     RAW_EXTRACTIONS,
 )
-from opinarium.sources.files import read_or_empty, read_reviews_csv, stage
+from opinarium.sources.files import read_or_empty, read_reviews_csv, stage, write_csv
 from opinarium.sources.tables import TableNames, save_summary, save_tables
 
 
@@ -82,6 +82,7 @@ class WorkflowConfig:
     checkpoint_rows: int = 100_000
     tasks: int | None = None
     buckets: int | None = None
+    csv_export: bool = False
     names: TableNames = field(default_factory=TableNames)
 
 
@@ -120,6 +121,9 @@ def run_workflow(spark: SparkSession, config: WorkflowConfig, factory: ex.Extrac
     save_tables(spark, reviews, aspects, config.names, config.buckets)
     reviews, aspects = spark.table(config.names.reviews), spark.table(config.names.aspects)
     save_summary(product_aspect_summary(reviews, aspects), config.names)
+    if config.csv_export:
+        write_csv(reviews, f"{folder}/csv/reviews")
+        write_csv(aspects, f"{folder}/csv/review_aspects")
     return {
         "cleaning_report": report,
         "rejected": ex.rejected_answers(parsed),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,11 @@ def local_session(cpus: str = "*", app: str = "opinarium", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
@@ -43,7 +49,7 @@ def working_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="opinarium-")
+        base = _local_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

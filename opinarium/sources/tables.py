@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.operators import integrity
@@ -52,13 +53,14 @@ def _save(df: DataFrame, name: str, buckets: int | None) -> None:
 
 
 def save_tables(spark: SparkSession, reviews: DataFrame, aspects: DataFrame,
-                names: TableNames = TableNames(), buckets: int | None = None) -> None:
-    """Replaces both tables. The first row of a repeated review id wins.
+                names: TableNames = TableNames(), buckets: int | None = None,
+                order: Sequence[Column | str] = ()) -> None:
+    """Replaces both tables. Of a repeated review id the first row by ``order`` is kept.
 
     The inputs are read more than once and should be stored tables. With ``buckets`` both
     tables are bucketed by review id, and later joins on it need no shuffle.
     """
-    unique = first_per_key(conform(reviews, REVIEWS), ["review_id"], [])
+    unique = conform(first_per_key(reviews, ["review_id"], order), REVIEWS)
     numbered = conform(with_aspect_id(aspects), REVIEW_ASPECTS)
     assert_loadable(unique, numbered)
     _save(unique, names.reviews, buckets)

@@ -32,12 +32,13 @@ def test_percentage_of_nothing_is_null(spark):
 
 def test_discount_bands(spark):
     rows = [(None, 1.0), (0.0, 1.0), (-5.0, 1.0), (100.0, None), (100.0, 120.0), (100.0, 100.0),
-            (100.0, 99.0), (100.0, 90.0), (100.0, 80.0), (100.0, 70.0), (100.0, 69.0)]
+            (100.0, 99.0), (100.0, 90.0), (100.0, 80.0), (100.0, 70.0), (100.0, 69.0),
+            (float("nan"), 1.0), (100.0, float("nan"))]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, mrp double, price double")
     band = measures.band(measures.discount_pct(F.col("mrp"), F.col("price")),
                          measures.DISCOUNT_EDGES, measures.DISCOUNT_BANDS, measures.UNKNOWN_BAND)
     got = [r[0] for r in df.orderBy("i").select(band).collect()]
-    assert got == ["Unknown"] * 4 + ["No discount"] * 2 + ["0-10%", "0-10%", "10-20%", "20-30%", "30%+"]
+    assert got == ["Unknown"] * 4 + ["No discount"] * 2 + ["0-10%", "0-10%", "10-20%", "20-30%", "30%+"] + ["Unknown"] * 2
 
 
 def test_band_needs_matching_labels():

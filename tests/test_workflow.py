@@ -94,6 +94,15 @@ def test_save_tables(spark):
     assert children.select("aspect_id").distinct().count() == 3
 
 
+def test_save_tables_keeps_the_first_row_by_order(spark):
+    named = names("ordered")
+    reviews, aspects = pair(spark, ["a"], ["a"])
+    later = reviews.withColumn("overall_sentiment", F.lit("negative")).withColumn("n", F.lit(2))
+    both = later.unionByName(reviews.withColumn("n", F.lit(1)))
+    tables.save_tables(spark, both, aspects, named, order=["n"])
+    assert [r["overall_sentiment"] for r in spark.table(named.reviews).collect()] == ["positive"]
+
+
 @pytest.mark.parametrize("reviews, aspects, sentiment, message", [
     (["a"], ["a", "x"], "positive", "without a review"),
     (["a"], ["a"], None, "overall_sentiment"),
@@ -132,7 +141,7 @@ def test_workflow_from_csv_to_tables(spark, tmp_path):
              "93,P1,B1,T1,fine,9,,1,1,x"]
     write_raw(raw, rows)
     config = w.WorkflowConfig(raw, str(tmp_path / "work"), sample_size=100, checkpoint_rows=15, tasks=2,
-                              names=named)
+                              names=named, csv_export=True)
     policy = ex.CallPolicy(pace=0, on_error=ex.STOP)
     out = w.run_workflow(spark, config, lambda: answering, "fixture", policy)
     report = {r["metric"]: r["value"] for r in out["cleaning_report"].collect() if r["column_name"] is None}
@@ -142,6 +151,7 @@ def test_workflow_from_csv_to_tables(spark, tmp_path):
     assert out["reviews"].filter("extraction_method <> 'fixture'").count() == 0
     assert out["product_aspect_summary"].agg(F.sum("total_mentions")).first()[0] == 80
     assert "author" not in out["reviews"].columns
+    assert files.read_reviews_csv(spark, str(tmp_path / "work" / "csv" / "review_aspects")).count() == 80
 
     def refuse():
         raise AssertionError("no call expected")

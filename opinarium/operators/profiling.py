@@ -49,13 +49,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
-    """How often each non-null value of each given column occurs, in one pass."""
+    """How often each non-null value of each given column occurs, in one pass.
+
+    ``top`` keeps that many of the most frequent values of every column.
+    """
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     long = texts.unpivot([], list(columns), "column_name", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n"))
-    out = counts.orderBy("column_name", F.desc("n"), "value")
-    return out if top is None else out.limit(top)
+    if top is not None:
+        place = F.row_number().over(W.partitionBy("column_name").orderBy(F.desc("n"), "value"))
+        counts = counts.withColumn("_place", place).filter(F.col("_place") <= top).drop("_place")
+    return counts.orderBy("column_name", F.desc("n"), "value")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

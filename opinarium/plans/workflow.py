@@ -32,11 +32,13 @@ def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory,
     The work is done in rounds of about ``checkpoint_rows`` reviews; a finished round is
     never repeated. An error ends the run after its round is stored, unless the policy
     rejects single reviews; the next run tries them again. A repeated review id is extracted
-    once. Returns the rows requested, done before and remaining at the start.
+    once, a row without id not at all, as no answer could be traced back to it. Returns the
+    rows requested, done before and remaining at the start.
     """
     spark = reviews.sparkSession
     answers, pending = f"{path}/answers", f"{path}/pending"
     done = read_or_empty(spark, answers, RAW_EXTRACTIONS).filter(F.col("error").isNull())
+    reviews = reviews.filter(F.col("review_id").isNotNull())
     counts = resume_counts(reviews, done).first().asDict()
     if counts["remaining"] == 0:
         return counts

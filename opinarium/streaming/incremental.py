@@ -12,6 +12,8 @@ from opinarium.functions.text import id_key
 from opinarium.operators.resume import first_per_key, pending_reviews
 from opinarium.sources.files import read_or_empty
 
+_BATCH = T.StructField("batch_id", T.LongType())
+
 
 def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
@@ -24,10 +26,13 @@ def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
     failure overwrites its own folder only, so no review is lost or added twice.
     """
 
+    def prepared(df: DataFrame) -> DataFrame:
+        rows = transform(df) if transform else df
+        return rows.withColumn(key, id_key(F.col(key)))
+
     def add(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
-        rows = first_per_key(rows.withColumn(key, id_key(F.col(key))), [key], order)
-        layout = T.StructType([rows.schema[key], T.StructField("batch_id", T.LongType())])
+        rows = first_per_key(prepared(batch), [key], order)
+        layout = T.StructType([rows.schema[key], _BATCH])
         earlier = read_or_empty(batch.sparkSession, target, layout)
         seen = earlier.filter(F.col("batch_id") != batch_id).select(key)
         if processed is not None:
@@ -42,7 +47,8 @@ def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
         .start()
     )
     query.awaitTermination()
-    return stream.sparkSession.read.parquet(target)
+    layout = T.StructType([*prepared(stream).schema.fields, _BATCH])
+    return read_or_empty(stream.sparkSession, target, layout)
 
 
 def drop_recent_repeats(stream: DataFrame, arrival: str, delay: str,

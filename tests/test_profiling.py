@@ -77,7 +77,8 @@ def test_value_counts_and_info(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("a", None)], "s string, n int")
     assert [tuple(r) for r in p.value_counts(df, ["s", "n"]).collect()] == [
         ("n", "1", 2), ("s", "a", 2), ("s", "b", 1)]
-    assert [tuple(r) for r in p.value_counts(df, ["s"], top=1).collect()] == [("s", "a", 2)]
+    assert [tuple(r) for r in p.value_counts(df, ["s", "n"], top=1).collect()] == [
+        ("n", "1", 2), ("s", "a", 2)]
     assert [tuple(r) for r in p.column_info(df).collect()] == [
         (0, "s", "string", 3, 3, 2), (1, "n", "int", 2, 3, 2)]
     assert [tuple(r) for r in p.null_counts(df).collect()] == [("s", 0), ("n", 1)]

@@ -180,6 +180,8 @@ def test_stopped_run_resumes_where_it_broke_off(spark, tmp_path):
 
     reviews = spark.range(100).select(F.col("id").cast("string").alias("review_id"),
                                       F.lit("t").alias("review_text"))
+    lost = spark.createDataFrame([(None, "no id")], "review_id string, review_text string")
+    reviews = reviews.unionByName(lost)
     policy = ex.CallPolicy(pace=0, on_error=ex.STOP)
     with pytest.raises(ex.ExtractionFailed, match="401"):
         w.run_extraction(reviews, path, factory, "fixture", policy, checkpoint_rows=30, tasks=2)

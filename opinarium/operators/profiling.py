@@ -158,7 +158,7 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     values are equal, the range reaches half a unit to either side.
     """
     value = nan_to_null(F.col(column).cast("double"))
-    finite = df.select(F.when(F.abs(value) < float("inf"), value).alias("x")).filter("x IS NOT NULL")
+    finite = df.select(value.alias("x")).filter(F.abs(F.col("x")) < float("inf"))
     span = finite.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     flat = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
     span = span.select((F.col("lo") - flat).alias("lo"), (F.col("hi") + flat).alias("hi"))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,31 +32,35 @@ def local_session(cpus: str = "*", app: str = "opinarium", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
-@cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"{application}-")
-
-
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor can reach.
 
-    It lies under ``spark.checkpoint.dir``. A machine-local folder is only taken for a
-    local master, where driver and executors are the same machine.
+    It lies under ``spark.checkpoint.dir`` or, where that is unset, under the warehouse, which
+    driver and executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_folder(spark.sparkContext.applicationId)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_working"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Deletes a working folder that no later plan reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Computes a table once, writes it to the shared folder and reads it from there.
 
     Later plans see its true size, so a small one is broadcast before a large table is
     shuffled for it, and losing an executor does not bring the work back.
     """
+    return stored_at(df, purpose)[0]
+
+
+def stored_at(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The table that ``stored`` gives, and its folder."""
     path = working_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

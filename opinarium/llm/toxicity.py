@@ -1,7 +1,7 @@
 """Toxicity by a logistic model over words, regularised with counterfactual sentences.
 
-The words that tell the classes apart best are found by grouped counts over the labelled texts,
-then weights are fitted on a bounded sample of them. In every sampled text that names a group, the
+Words and beginnings of words that tell the classes apart best are found by grouped counts over a
+bounded sample of the labelled texts, then weights are fitted on that sample. In every sampled text that names a group, the
 name is swapped for each other name of its kind and for a neutral noun; the squared change of the
 score's logit over all swaps is a penalty. So a name alone moves no score, and texts that mention a
 group neutrally are not taken for toxic.
@@ -23,13 +23,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import Block, block_of, blocks, byte_class, span_hashes, spans
+from opinarium.llm.arrays import Block, block_of, blocks, byte_class, mixed, span_hashes, spans
 from opinarium.session import stored
 
 #: At most so many labelled texts are sampled, lowest hash of the id first.
-SAMPLE_ROWS = 20_000
-#: So many words are weighed, besides names of groups.
+SAMPLE_ROWS = 8_000
+#: So many words and beginnings are weighed, besides names of groups.
 FEATURES = 512
+#: Beginnings have so many bytes; forms of a word that the sample lacks are known by them.
+BEGINNINGS = (4, 5)
 LEAST_TEXTS = 3
 RIDGE = 2e-4
 SWAP_PENALTY = 1.0
@@ -68,14 +70,21 @@ class Model:
 
 
 def _words(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of every word."""
+    """Row and hash of every word, and of the beginnings of longer words."""
     block = block.lowered()
     starts, ends = spans(block.data, _WORD)
-    return block.rows_of(starts), span_hashes(block.data, starts, ends)
+    rows, hashes = [block.rows_of(starts)], [span_hashes(block.data, starts, ends)]
+    for size in BEGINNINGS:
+        longer = ends - starts > size
+        rows.append(rows[0][longer])
+        begin = starts[longer]
+        hashes.append(mixed(span_hashes(block.data, begin, begin + size) ^ np.uint64(size)))
+    return np.concatenate(rows), np.concatenate(hashes)
 
 
-def word_hash(word: str) -> int:
-    return int(_words(block_of([word]))[1][0])
+def word_hashes(word: str) -> list[int]:
+    """The hash of a word, then those of its beginnings."""
+    return [int(h) for h in _words(block_of([word]))[1]]
 
 
 def present(block: Block, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,15 +159,17 @@ def _swaps(table: np.ndarray, words: np.ndarray, groups) -> np.ndarray:
     index = {int(w): i for i, w in enumerate(words)}
     result, count = np.zeros((len(words), len(words))), 0
     for group in groups:
-        own = [i for w in group if (i := index.get(word_hash(w))) is not None]
+        own = [[i for h in word_hashes(w) if (i := index.get(h)) is not None] for w in group]
+        own = [features for w, features in zip(group, own) if word_hashes(w)[0] in index]
         for a in own:
             for b in own:
-                if a != b and (n := int((table[:, a] * (1 - table[:, b])).sum())):
-                    result[a, a] += n
-                    result[b, b] += n
-                    result[a, b] -= n
-                    result[b, a] -= n
-                    count += n
+                if a is b or not (n := int((table[:, a[0]] * (1 - table[:, b[0]])).sum())):
+                    continue
+                change = np.zeros(len(words))
+                change[a] += 1
+                change[b] -= 1
+                result += n * np.outer(change, change)
+                count += n
     return result / max(1, count)
 
 
@@ -195,12 +206,12 @@ def fit(table: np.ndarray, label: np.ndarray, swaps: np.ndarray, ridge: float =
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES,
           groups=GROUPS) -> Model:
-    """Fits a model on the sampled labelled texts."""
+    """Fits a model on the sampled labelled texts. Features that count are in several texts."""
     sample = _sample(docs, labels, sample_rows)
     totals = sample.agg(F.coalesce(F.sum((F.col("toxic") > 0).cast("long")), F.lit(0)).alias("bad"),
                         F.count("*").alias("n")).first()
     bad, good = totals["bad"], totals["n"] - totals["bad"]
-    chosen: set[int] = {word_hash(w) for group in groups for w in group}
+    chosen: set[int] = {word_hashes(w)[0] for group in groups for w in group}
     if bad and good:
         a, b = F.col("bad"), F.col("good")
         spread = F.pow(a * good - b * bad, F.lit(2.0)) / ((a + b) * (bad + good - a - b + 1))

@@ -6,11 +6,11 @@ with equal sets are one node from then on. Candidates are checked by their signa
 that pass by their whole sets, computed again from the texts. Components of the confirmed links
 come from alternating star steps.
 
-No bucket emits all its pairs. First, every member is compared with the smallest one only. If all
-members turn out to be of one component, no further pair can matter. Otherwise the members outside
-the component of the smallest one are compared with members of other components, a few of them at
-first and sixteen times as many in each further round, with components merged in between, until
-every member is of one component with, or was compared with, every other one.
+No bucket emits all its pairs. First, every member is compared with one leader, the member that
+meets most others in its buckets. If all members turn out to be of the leader's component, no further
+pair can matter. Otherwise the members outside of it, the strays, are compared with the members of
+other components: as pairs where a bucket has few of them, and block by block inside tasks, without a
+row per pair, for the families of texts that large buckets connect.
 
 A pair at the threshold shares no band with probability ``(1 - 0.8 ** ROWS) ** BANDS``, 5e-6.
 
@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +40,10 @@ BANDS, ROWS = 40, 6
 SIGNATURE_SHARE = 0.64
 #: Up to so many rows, a list of rows to look up is broadcast.
 BROADCAST_ROWS = 200_000
-FIRST_STRAYS = 16
+#: Buckets with more pairs of a stray and a member are compared in blocks.
+PAIRS_OF_BUCKET = 256
+#: Texts of one side of a block on average.
+BLOCK_TEXTS = 256
 
 _BETWEEN = np.ones(256, dtype=bool) & ~byte_class((0x20, 0x20), (0x09, 0x0D), (END, END))
 _random = np.random.default_rng(20240229)
@@ -122,11 +125,15 @@ def _with_text_hash(docs: DataFrame) -> DataFrame:
 
 
 def _buckets(sets: DataFrame) -> DataFrame:
-    """``bucket``, ``leader`` (the smallest node of the bucket) and ``node``, for buckets of several."""
+    """``bucket``, ``leader`` and ``node``, for buckets of several nodes. The leader is the member
+    with the most members in all its buckets."""
     nodes = sets.filter("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
-    return members.join(leaders.filter("n > 1").drop("n"), "bucket")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(members.join(sizes, "bucket"), "near-members")
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    leaders = members.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("most"))
+    return members.select("bucket", "node").join(leaders.select("bucket", F.col("most.node").alias("leader")), "bucket")
 
 
 def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -148,10 +155,9 @@ def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) of stored ``pairs`` whose whole sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = sets.filter("node is not null").join(needed, "node").groupBy("node") \
+def _texts(nodes: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """One text for each of the distinct ``nodes``, written once."""
+    rows = sets.filter("node is not null").join(nodes, "node").groupBy("node") \
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("row"))
     rows = stored(rows.select("node", F.col("row.doc_id").alias("_id"), F.col("row.text_hash").alias("_hash")),
                   "near-rows")
@@ -159,7 +165,12 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, s
         rows = F.broadcast(rows)
     hashed = _with_text_hash(docs.select("doc_id", "text"))
     found = hashed.join(rows, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    texts = stored(found.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+    return stored(found.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """The pairs (a, b) of stored ``pairs`` whose whole sets are similar enough."""
+    texts = _texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), sets, docs)
     both = pairs
     for side in ("a", "b"):
         both = both.join(texts.select(F.col("node").alias(side), F.col("text").alias(f"t{side}")), side)
@@ -170,22 +181,86 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, s
                 part = batch.slice(at, 64)
                 left, right = ([s for block in blocks(part.column(c)) for s in shingle_sets(block, words)]
                                for c in ("ta", "tb"))
-                linked = []
-                for x, y in zip(left, right):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * common >= similarity * (len(x) + len(y) - common))
+                linked = [_similar(x, y, similarity) for x, y in zip(left, right)]
                 yield part.filter(pa.array(linked)).select(["a", "b"])
 
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def _strays(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members with their components, and for those outside the leader's component their place."""
+def _similar(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= similarity * (len(x) + len(y) - common)
+
+
+def _placed(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds the component of the node (``own``) and of the leader (``main``); only buckets of several
+    components stay. ``size`` and ``strays`` count their members, and those outside of ``main``."""
     named = buckets
     for column, component in (("node", "own"), ("leader", "main")):
         root = roots.select(F.col("node").alias(column), F.col("root").alias(component))
         named = named.join(root, column, "left").withColumn(component, F.coalesce(component, column))
-    return named
+    named = stored(named, "near-placed")
+    counts = named.groupBy("bucket").agg(F.count("*").alias("size"),
+                                         F.sum((F.col("own") != F.col("main")).cast("long")).alias("strays"))
+    return stored(named.join(counts.filter("strays > 0"), "bucket"), "near-mixed")
+
+
+def _stray_pairs(mixed_buckets: DataFrame) -> DataFrame:
+    """Pairs of a stray and a member of another component; the leader was compared before."""
+    strays = mixed_buckets.filter("own <> main")
+    others = mixed_buckets.select("bucket", F.col("node").alias("other"), F.col("own").alias("theirs"),
+                                  (F.col("own") != F.col("main")).alias("stray"))
+    pairs = strays.join(others, "bucket").filter(
+        (F.col("own") != F.col("theirs")) & (F.col("other") != F.col("leader"))
+        & (~F.col("stray") | (F.col("node") < F.col("other"))))
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _block_links(large: DataFrame, sets: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Links (a, b) of strays and members of other components, for buckets with many of both.
+
+    Buckets that share texts form a family. Its strays and its members are dealt to parts, and every
+    part of strays meets every part of members in a group of its own, whose size is bounded. A link
+    per stray and component is enough.
+    """
+    family = components(large.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    nodes = large.groupBy("node").agg(F.first("own").alias("own"), F.max((F.col("own") != F.col("main"))).alias("stray"))
+    nodes = nodes.join(family, "node", "left").select("node", "own", "stray", F.coalesce("root", "node").alias("family"))
+    nodes = stored(nodes, "near-families")
+    parts = nodes.groupBy("family").agg(
+        F.ceil(F.count("*") / BLOCK_TEXTS).alias("member_parts"),
+        F.ceil(F.sum(F.col("stray").cast("long")) / BLOCK_TEXTS).alias("stray_parts"))
+    signatures = sets.filter("node is not null").join(nodes.select("node"), "node", "left_semi") \
+        .groupBy("node").agg(F.first("signature").alias("signature"))
+    rows = nodes.join(parts.filter("stray_parts > 0"), "family").join(_texts(nodes.select("node"), sets, docs), "node") \
+        .join(signatures, "node")
+
+    def dealt(frame: DataFrame, own: str, other: str) -> DataFrame:
+        whole = F.pmod(F.xxhash64("node"), F.col(f"{own}_parts")).alias(f"{own}_part")
+        return frame.select("family", whole, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_parts") - 1))
+                            .alias(f"{other}_part"), "node", "own", "signature", "text")
+
+    keys = ["family", "member_part", "stray_part"]
+
+    def compare(strays: pa.Table, members: pa.Table) -> pa.Table:
+        out: list[tuple[bytes, bytes]] = []
+        if len(strays) and len(members):
+            (ours, own, sign, sets_a), (theirs, their, signs, sets_b) = (
+                (t.column("node").to_pylist(), t.column("own").to_pylist(),
+                 np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(len(t), -1),
+                 [s for block in blocks(t.column("text")) for s in shingle_sets(block, words)])
+                for t in (strays, members))
+            for i, node in enumerate(ours):
+                linked = {own[i]}
+                for j in np.flatnonzero((signs == sign[i]).mean(axis=1) >= SIGNATURE_SHARE).tolist():
+                    if their[j] not in linked and _similar(sets_a[i], sets_b[j], similarity):
+                        linked.add(their[j])
+                        out.append((node, theirs[j]))
+        return pa.table([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    strays = dealt(rows.filter("stray"), "stray", "member").groupBy(*keys)
+    return stored(strays.cogroup(dealt(rows, "member", "stray").groupBy(*keys))
+                  .applyInArrow(compare, "a binary, b binary"), "near-links")
 
 
 def similar_links(docs: DataFrame, sets: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -198,24 +273,14 @@ def similar_links(docs: DataFrame, sets: DataFrame, words: int, similarity: int)
 
     links = link(buckets.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     roots = components(links)
-    outside = _strays(buckets, roots).filter("own <> main").select("bucket", "node")
-    place = Window.partitionBy("bucket").orderBy("node")
-    outside = stored(outside.withColumn("place", F.row_number().over(place)), "near-strays")
-    last = outside.agg(F.max("place")).first()[0] or 0
-    low, high = 0, FIRST_STRAYS
-    while low < last:
-        named = _strays(buckets.join(outside.select("bucket").distinct(), "bucket", "left_semi"), roots)
-        named = named.join(outside, ["bucket", "node"], "left")
-        chosen = named.filter((F.col("place") > low) & (F.col("place") <= high) & (F.col("own") != F.col("main")))
-        others = named.filter(f"place is null or place > {low}").select(
-            "bucket", F.col("node").alias("other"), F.col("own").alias("theirs"), F.col("place").alias("their_place"))
-        pairs = chosen.join(others, "bucket").filter(
-            (F.col("own") != F.col("theirs")) & (F.col("other") != F.col("leader"))
-            & (F.coalesce(F.col("their_place") > F.col("place"), F.lit(True))))
-        new = link(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-        links = links.unionByName(new)
+    small = _placed(buckets, roots).filter(F.col("size") * F.col("strays") <= PAIRS_OF_BUCKET)
+    if not small.isEmpty():
+        links = links.unionByName(link(_stray_pairs(small)))
+        roots = components(links)
+    large = _placed(buckets, roots).filter(F.col("size") * F.col("strays") > PAIRS_OF_BUCKET)
+    if not large.isEmpty():
+        links = links.unionByName(_block_links(large, sets, docs, words, similarity))
         roots = components(links)
-        low, high = high, high * 16
     return roots
 
 

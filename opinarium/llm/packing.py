@@ -30,6 +30,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces of a group on average; groups are packed independently of each other.
 GROUP_PIECES = 16384
+#: The search in a group ends after so many donors in a row that could not be emptied.
+PATIENCE = 12
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -122,50 +124,52 @@ class Packing:
 
     def _best(self, donor: int, options: tuple[np.ndarray, ...]):
         """The exchange with the greatest gain in squared fill that takes tokens from the donor."""
-        best = (0, None)
+        best, chosen = 0, None
         total, room, who, first, second = options
-        fills = np.array([self.fill[s] for s in range(len(self.fill))])[who] if len(who) else who
+        ahead = self.capacity - room - self.fill[donor]
         own = self.members[donor]
         outs = [[p] for p in own] + [[p, q] for i, p in enumerate(own) for q in own[i + 1:]]
-        for out in outs:
-            given = sum(self.size[p] for p in out)
+        for given, out in {sum(self.size[p] for p in out): out for out in reversed(outs)}.items():
             moved = given - total
-            fits = (moved > 0) & (moved <= room) & (fills + moved > self.fill[donor])
+            fits = (moved > 0) & (moved <= room) & (ahead + moved > 0)
             if len(out) == 2:  # two for one at most
                 fits &= second < 0
-            if not fits.any():
-                continue
-            gain = np.where(fits, moved * (fills + moved - self.fill[donor]), 0)
+            gain = np.where(fits, moved * (ahead + moved), 0)
             i = int(np.argmax(gain))
-            if gain[i] > best[0]:
-                best = (int(gain[i]), (out, int(who[i]), [int(x) for x in (first[i], second[i]) if x >= 0]))
-        return best[1]
+            if gain[i] > best:
+                best, chosen = int(gain[i]), (out, int(who[i]), [int(x) for x in (first[i], second[i]) if x >= 0])
+        return chosen
 
     def local_search(self) -> None:
-        """Empties the least filled sequences while exchanges raise the sum of squared fills."""
+        """Empties the least filled sequences while exchanges raise the sum of squared fills.
+
+        Ends when no fewer sequences are possible, or when ``PATIENCE`` donors in a row were not
+        emptied.
+        """
         least = -(-sum(self.size) // self.capacity)
-        stuck: set[int] = set()
-        while sum(1 for f in self.fill if f) > least:
-            open_ = [s for s, f in enumerate(self.fill) if 0 < f < self.capacity]
-            donors = [s for s in open_ if s not in stuck]
-            if not donors or len(open_) < 2:
+        used = sum(1 for f in self.fill if f)
+        if used <= least:
+            return
+        options = self._options([s for s, f in enumerate(self.fill) if 0 < f < self.capacity])
+        tried: set[int] = set()
+        while used > least and len(tried) < PATIENCE:
+            donors = [s for s, f in enumerate(self.fill) if 0 < f < self.capacity and s not in tried]
+            if not donors:
                 return
             donor = min(donors, key=lambda s: (self.fill[s], s))
-            options = self._options([s for s in open_ if s != donor])
-            changed = False
-            while self.fill[donor] and (found := self._best(donor, options)):
+            options = _without(options, donor)
+            while self.fill[donor] and len(options[0]) and (found := self._best(donor, options)):
                 out, receiver, back = found
                 self._exchange(donor, out, receiver, back)
-                changed = True
-                keep = options[2] != receiver
-                options = tuple(x[keep] for x in options)
+                options = _without(options, receiver)
                 if self.fill[receiver] < self.capacity:
-                    more = self._options([receiver])
-                    options = tuple(np.concatenate(x) for x in zip(options, more))
+                    options = _joined(options, self._options([receiver]))
             if self.fill[donor]:
-                stuck.add(donor)
-                if changed and len(stuck) > 1:
-                    stuck = {donor}
+                tried.add(donor)
+                options = _joined(options, self._options([donor]))
+            else:
+                used -= 1
+                tried.clear()
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """Sequence and offset of every piece."""
@@ -178,6 +182,15 @@ class Packing:
         return sequence, offset
 
 
+def _without(options: tuple[np.ndarray, ...], sequence: int) -> tuple[np.ndarray, ...]:
+    keep = options[2] != sequence
+    return tuple(x[keep] for x in options)
+
+
+def _joined(options: tuple[np.ndarray, ...], more: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    return tuple(np.concatenate(x) for x in zip(options, more))
+
+
 def pack(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece of one group."""
     packing = Packing(lengths, capacity)

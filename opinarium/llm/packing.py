@@ -31,7 +31,7 @@ END_ID = 0
 #: Pieces of a group on average; groups are packed independently of each other.
 GROUP_PIECES = 16384
 #: The search in a group ends after so many donors in a row that could not be emptied.
-PATIENCE = 12
+PATIENCE = 600
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

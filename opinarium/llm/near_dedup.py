@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from opinarium.llm.arrays import END, Block, blocks, byte_class, mixed, per_row, span_hashes, spans
 from opinarium.llm.components import components
-from opinarium.session import stored
+from opinarium.session import stored, stored_at
 
 WORDS = 5
 SIMILARITY = 80
@@ -234,6 +234,8 @@ def _block_links(large: DataFrame, sets: DataFrame, docs: DataFrame, words: int,
         .groupBy("node").agg(F.first("signature").alias("signature"))
     rows = nodes.join(parts.filter("stray_parts > 0"), "family").join(_texts(nodes.select("node"), sets, docs), "node") \
         .join(signatures, "node")
+    rows, folder = stored_at(rows, "near-family-texts")
+    strays = rows.sparkSession.read.schema(rows.schema).parquet(folder).filter("stray")
 
     def dealt(frame: DataFrame, own: str, other: str) -> DataFrame:
         whole = F.pmod(F.xxhash64("node"), F.col(f"{own}_parts")).alias(f"{own}_part")
@@ -258,8 +260,7 @@ def _block_links(large: DataFrame, sets: DataFrame, docs: DataFrame, words: int,
                         out.append((node, theirs[j]))
         return pa.table([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
-    strays = dealt(rows.filter("stray"), "stray", "member").groupBy(*keys)
-    return stored(strays.cogroup(dealt(rows, "member", "stray").groupBy(*keys))
+    return stored(dealt(strays, "stray", "member").groupBy(*keys).cogroup(dealt(rows, "member", "stray").groupBy(*keys))
                   .applyInArrow(compare, "a binary, b binary"), "near-links")
 
 

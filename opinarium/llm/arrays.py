@@ -13,8 +13,12 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 BLOCK_BYTES = 1 << 20
+#: Batches that reach a Python worker. Spark's own 64 MB would be held several times over by the
+#: JVM and by each worker.
+BATCH_BYTES = 4 << 20
 #: Stands behind every text of a block. UTF-8 has no such byte.
 END = 0xFF
 
@@ -25,6 +29,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def mapped(rows: DataFrame, function: Callable, schema) -> DataFrame:
+    """``mapInArrow`` on batches of at most ``BATCH_BYTES``, or less if the session says so."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = rows.sparkSession.conf
+    if conf.get(name) in ("67108864", "67108864b", "64m", "64MB"):
+        conf.set(name, str(BATCH_BYTES))
+    return rows.mapInArrow(function, schema)
+
+
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     """A table that tells for each byte whether it lies in one of the closed ranges."""
     table = np.zeros(256, dtype=bool)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import (END, Block, block_of, blocks, kept_in_worker, mixed,
+from opinarium.llm.arrays import (mapped, END, Block, block_of, blocks, kept_in_worker, mixed,
                                   repeated_ranges, span_hashes)
 
 # Symbols of the splitting automaton.
@@ -384,7 +384,7 @@ def map_encoded(docs: DataFrame, path: str, schema: T.StructType, each, keep: li
                 columns = [kept.column(k) if rows is None else kept.column(k).take(pa.array(rows)) for k in keep]
                 yield pa.RecordBatch.from_arrays([*columns, *(pa.array(made[n]) for n in names)], [*keep, *names])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+    return mapped(docs.select(*dict.fromkeys([*keep, "text"])), run, schema)
 
 
 def encode_texts(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
@@ -415,7 +415,7 @@ def decode_ids(docs: DataFrame, path: str, keep: list[str]) -> DataFrame:
                                              [*keep, "text"])
 
     schema = T.StructType([docs.schema[k] for k in keep]).add("text", T.StringType())
-    return docs.select(*keep, "ids").mapInArrow(run, schema)
+    return mapped(docs.select(*keep, "ids"), run, schema)
 
 
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:

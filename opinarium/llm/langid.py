@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import Block, blocks, byte_class
+from opinarium.llm.arrays import mapped, Block, blocks, byte_class
 from opinarium.session import stored
 
 #: At most so many texts of each language are fitted, lowest hash first.
@@ -108,7 +108,7 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Profiles:
         yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array(slot.astype(np.int32)),
                                           pa.array(sums[which, slot])], ["language", "slot", "n"])
 
-    found = known.filter(draw < share[F.col("lang")]).mapInArrow(run, "language int, slot int, n long")
+    found = mapped(known.filter(draw < share[F.col("lang")]), run, "language int, slot int, n long")
     table = np.zeros((len(languages), SLOTS))
     # One row per language and slot at most.
     for row in found.groupBy("language", "slot").agg(F.sum("n").alias("n")).collect():
@@ -135,7 +135,7 @@ def evidence(rows: DataFrame, profiles: Profiles, keep: list[str], html: bool =
                     yield pa.RecordBatch.from_arrays([*(kept.column(k) for k in keep), pa.array(count),
                                                       *(pa.array(s) for s in sums.T)], schema.names)
 
-    return rows.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+    return mapped(rows.select(*dict.fromkeys([*keep, "text"])), run, schema)
 
 
 def _argmax(values: list[Column], languages: list[str]) -> Column:

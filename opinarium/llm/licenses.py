@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import Block, block_of, blocks, byte_class, kept_in_worker, per_row, span_hashes, spans
+from opinarium.llm.arrays import mapped, Block, block_of, blocks, byte_class, kept_in_worker, per_row, span_hashes, spans
 
 # Phrases and their labels.
 BASE = {
@@ -188,4 +188,4 @@ def find_licenses(docs: DataFrame, base: dict[str, str] = BASE, templates: dict[
                     pa.array([",".join(f"{m[2].label}:{m[0]}:{m[1]}" for m in f) for f in matches], pa.string()),
                 ], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return mapped(docs.select("doc_id", "text"), run, schema)

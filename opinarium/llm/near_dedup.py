@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import END, Block, blocks, byte_class, mixed, per_row, span_hashes, spans
+from opinarium.llm.arrays import mapped, END, Block, blocks, byte_class, mixed, per_row, span_hashes, spans
 from opinarium.llm.components import components
 from opinarium.session import stored, stored_at
 
@@ -117,7 +117,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     pa.array([r.tobytes() if f else None for r, f in zip(low, full)], pa.binary()),
                 ], schema.names)
 
-    return _with_text_hash(docs).select("doc_id", "text_hash", "text").mapInArrow(run, schema)
+    return mapped(_with_text_hash(docs).select("doc_id", "text_hash", "text"), run, schema)
 
 
 def _with_text_hash(docs: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             share = (left == right).mean(axis=1)
             yield batch.filter(pa.array(share >= SIGNATURE_SHARE)).select(["a", "b"])
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
+    return mapped(both.select("a", "b", "sa", "sb"), run, "a binary, b binary")
 
 
 def _texts(nodes: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, s
                 linked = [_similar(x, y, similarity) for x, y in zip(left, right)]
                 yield part.filter(pa.array(linked)).select(["a", "b"])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
+    return mapped(both.select("a", "b", "ta", "tb"), run, "a binary, b binary")
 
 
 def _similar(x: np.ndarray, y: np.ndarray, similarity: int) -> bool:

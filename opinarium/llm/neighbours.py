@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinarium.llm.arrays import mapped
 from opinarium.session import stored
 
 TABLES, HASHES, WIDTH, PROBES = 8, 10, 2.5, 80
@@ -127,7 +128,7 @@ def _hashed(vectors: DataFrame, probes: int | None) -> DataFrame:
                     [part.column("id"), part.column("vector"), pa.array(keys, pa.list_(pa.int64()))],
                     ["id", "vector", "keys"])
 
-    return vectors.select("id", "vector").mapInArrow(run, "id long, vector array<double>, keys array<long>")
+    return mapped(vectors.select("id", "vector"), run, "id long, vector array<double>, keys array<long>")
 
 
 def _nearest(index: pa.Table, queries: pa.Table, k: int) -> Iterator[pa.Table]:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinarium.llm.arrays import mapped
 from opinarium.llm.bpe import little_endian, map_encoded
 from opinarium.session import stored
 
@@ -65,7 +66,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
             at += len(batch)
             yield pa.RecordBatch.from_arrays([*batch.columns, numbers], numbered.names)
 
-    return pieces.mapInArrow(number, numbered)
+    return mapped(pieces, number, numbered)
 
 
 class Packing:

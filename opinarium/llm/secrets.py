@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import Block, blocks, byte_class, kept_in_worker, spans
+from opinarium.llm.arrays import mapped, Block, blocks, byte_class, kept_in_worker, spans
 
 # Kinds in order, and their patterns.
 KINDS = ("assign", "access", "hex", "novel")
@@ -146,7 +146,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
                     *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()),
                     pa.array([_listed(base + novel) for _, base, novel in rows], pa.string())], schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return mapped(docs.select("doc_id", "text"), run, schema)
 
 
 def _masked(text: str, found: list[tuple[int, int, int]]) -> str:
@@ -165,21 +165,21 @@ def redacted(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, size = batch.column("text"), batch.column("n_chars") if counts else None
-            changed = {block.first + i: _masked(t, base + novel)
-                       for block in blocks(text) for i, (t, base, novel) in found_in(block).items()}
-            if changed:
-                mask = np.zeros(len(batch), dtype=bool)
-                mask[list(changed)] = True
-                ordered = [changed[i] for i in sorted(changed)]
-                batch = _replaced(batch, "text", mask, pa.array(ordered, text.type))
-                if counts:
-                    batch = _replaced(batch, "n_chars", mask, pa.array([len(t) for t in ordered], size.type))
-            yield batch
-
-    return docs.mapInArrow(run, docs.schema)
-
-
-def _replaced(batch: pa.RecordBatch, name: str, mask: np.ndarray, values: pa.Array) -> pa.RecordBatch:
-    column = pc.replace_with_mask(batch.column(name), pa.array(mask), values)
-    return batch.set_column(batch.schema.get_field_index(name), batch.schema.field(name), column)
+            for block in blocks(batch.column("text")):
+                part = batch.slice(block.first, len(block))
+                changed = {i: _masked(t, base + novel) for i, (t, base, novel) in sorted(found_in(block).items())}
+                if changed:
+                    mask = np.isin(np.arange(len(part)), list(changed))
+                    part = _replaced(part, "text", mask, list(changed.values()))
+                    if counts:
+                        part = _replaced(part, "n_chars", mask, [len(t) for t in changed.values()])
+                yield part
+
+    return mapped(docs, run, docs.schema)
+
+
+def _replaced(batch: pa.RecordBatch, name: str, mask: np.ndarray, values: list) -> pa.RecordBatch:
+    place = batch.schema.get_field_index(name)
+    column = pa.concat_arrays([batch.column(place)])  # without the offset of a slice
+    column = pc.replace_with_mask(column, pa.array(mask), pa.array(values, column.type))
+    return batch.set_column(place, batch.schema.field(place), column)

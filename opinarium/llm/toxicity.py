@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import Block, block_of, blocks, byte_class, mixed, span_hashes, spans
+from opinarium.llm.arrays import mapped, Block, block_of, blocks, byte_class, mixed, span_hashes, spans
 from opinarium.session import stored
 
 #: At most so many labelled texts are sampled, lowest hash of the id first.
@@ -131,7 +131,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(words.view(np.int64)), pa.array(bad), pa.array(total - bad)], ["word", "bad", "good"])
 
-    return sample.mapInArrow(run, "word long, bad long, good long").groupBy("word").agg(
+    return mapped(sample, run, "word long, bad long, good long").groupBy("word").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
@@ -147,7 +147,7 @@ def _matrix(sample: DataFrame, words: np.ndarray) -> tuple[np.ndarray, np.ndarra
                     pa.array([features[a:b].astype(np.int16).tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
                     batch.column("toxic").slice(block.first, len(block))], ["features", "toxic"])
 
-    rows = sample.mapInArrow(run, "features binary, toxic int").collect()
+    rows = mapped(sample, run, "features binary, toxic int").collect()
     table = np.zeros((len(rows), len(words)), dtype=np.float32)
     for i, row in enumerate(rows):
         table[i, np.frombuffer(row["features"], np.int16)] = 1
@@ -233,7 +233,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(block.first, len(block)),
                                                   pa.array(model.scores(block))], schema.names)
 
-    scored = docs.select("doc_id", "text").mapInArrow(run, schema)
+    scored = mapped(docs.select("doc_id", "text"), run, schema)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 

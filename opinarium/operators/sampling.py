@@ -22,8 +22,6 @@ from opinarium.schemas import DEFAULT_SAMPLE_SIZE, DEFAULT_SEED, DEFAULT_STRATA
 from opinarium.session import stored
 
 CELL_DIGITS = 3
-# Up to this size a sample is one top-k pass: each task keeps its own first rows.
-TOP_K_LIMIT = 100_000
 _EXPLODE_STEP = 65_536
 # Sorts after every hex digit.
 AFTER_ALL = "~"
@@ -188,10 +186,8 @@ def exact_sample(df: DataFrame, n: int, strata: Sequence[str] = (), seed: int =
 
 def random_sample(df: DataFrame, n: int, seed: int = DEFAULT_SEED,
                   key: Sequence[str] | None = None) -> DataFrame:
-    """``min(n, rows)`` rows in a seeded random order."""
-    if n > TOP_K_LIMIT:
-        return exact_sample(df, n, (), seed, key)
-    return df.orderBy(order_hash(df, seed, key), *(key or [])).limit(n)
+    """The first ``min(n, rows)`` rows of a seeded random order; one method for every ``n``."""
+    return exact_sample(df, n, (), seed, key)
 
 
 def stratified_sample(df: DataFrame, n: int = DEFAULT_SAMPLE_SIZE,

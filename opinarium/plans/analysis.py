@@ -20,6 +20,7 @@ from opinarium.functions.measures import (
     pct,
     position,
 )
+from opinarium.functions.once import computed_once
 from opinarium.operators import metrics as m
 from opinarium.schemas import ASPECT_SENTIMENTS
 
@@ -161,11 +162,11 @@ def brand_pain_points(reviews: DataFrame, aspects: DataFrame,
 
 def discount_band_sentiment(reviews: DataFrame, aspects: DataFrame,
                             aspect: str = "price_value") -> DataFrame:
-    banded = reviews.select(
+    discounts = computed_once(reviews.select("review_id", "mrp", "price"),
+                              {"_pct": discount_pct(F.col("mrp"), F.col("price"))})
+    banded = discounts.filter(F.col("_pct").isNotNull()).select(
         "review_id",
-        band(discount_pct(F.col("mrp"), F.col("price")), DISCOUNT_EDGES, DISCOUNT_BANDS,
-             UNKNOWN_BAND).alias("discount_band"),
-    ).filter(F.col("discount_band") != UNKNOWN_BAND)
+        band(F.col("_pct"), DISCOUNT_EDGES, DISCOUNT_BANDS, UNKNOWN_BAND).alias("discount_band"))
     base = mentions(banded, aspects.filter(F.col("aspect") == aspect))
     counts = m.count_by(base, ["discount_band", "aspect_sentiment"], "sentiment_count")
     out = m.share_of_total(counts, ["discount_band"], "sentiment_count",

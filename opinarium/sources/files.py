@@ -25,8 +25,10 @@ def read_reviews_csv(spark: SparkSession, path: str, tokens: Sequence[str] = NA_
 
     Quoted cells may hold line breaks and doubled quotes. Such files are read one task per
     file; where no cell holds a line break, ``multiline=False`` lets Spark split large files.
+    Files whose headers differ are refused, since their cells would land in wrong columns.
     """
-    raw = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"')
+    raw = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"',
+                         enforceSchema=False)
     return missing_to_null(raw, tokens)
 
 
@@ -41,14 +43,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def is_finished(spark: SparkSession, path: str) -> bool:
-    """True if a committed Parquet table lies there; a job that broke off commits no file."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in _ABSENT:
-            raise
-        return False
-    return True
+    """True if a whole Parquet table lies there: its commit marker is written last."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
 def stage(spark: SparkSession, path: str, build: Callable[[], DataFrame],
@@ -65,7 +62,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of a schema, by name and type; missing ones are null, others go."""
+    """The columns of a schema, by name and type; missing ones are null, others go.
+
+    Texts that are no value of the column's type become null.
+    """
     return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
         for f in schema.fields])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinarium.operators import integrity
@@ -26,8 +26,13 @@ class TableNames:
 
 
 def with_aspect_id(aspects: DataFrame) -> DataFrame:
-    """Numbers the rows of one write: unique and rising, without a shuffle, not dense."""
-    return aspects.withColumn("aspect_id", F.monotonically_increasing_id())
+    """Adds a key that follows from the review and the place in its answer, so it is the same in
+    every load. Where no place is known, the rows of a review are numbered by their values."""
+    if "pos" not in aspects.columns:
+        others = sorted(c for c in aspects.columns if c != "review_id")
+        place = F.row_number().over(Window.partitionBy("review_id").orderBy(*others))
+        return aspects.withColumn("aspect_id", F.xxhash64("review_id", place - 1))
+    return aspects.withColumn("aspect_id", F.xxhash64("review_id", "pos"))
 
 
 def assert_loadable(reviews: DataFrame, aspects: DataFrame) -> None:

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import pytest
 
 from opinarium.operators import cleaning, extraction
 from opinarium.session import working_folder
@@ -37,13 +36,12 @@ def test_working_folder_lies_in_the_shared_folder(spark):
     assert a.startswith(base) and a != b
 
 
-def test_no_machine_local_folder_on_a_cluster():
+def test_working_folder_falls_back_to_the_warehouse():
     class Conf:
         def get(self, name, default=None):
-            return {"spark.master": "spark://host:7077"}.get(name, default)
+            return {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}.get(name, default)
 
     class Session:
         conf = Conf()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        working_folder(Session(), "x")
+    assert working_folder(Session(), "x").startswith("hdfs://shared/warehouse/_working/x-")

@@ -7,10 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry_file
+from opinarium.oracles import ORACLES
+from opinarium.registry import QUERIES
 from tests.comparison import differences, duck
 
 SF_DIR = os.environ.get("OPINARIUM_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = entry_file.queries(), entry_file.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -111,13 +111,12 @@ def test_repeat_in_steps(spark, monkeypatch):
     assert {r["x"]: r["count"] for r in out} == {"b": 4, "c": 9}
 
 
-def test_random_sample_by_both_ways(spark, monkeypatch):
+def test_random_sample_takes_the_first_by_hash(spark):
     df = spark.range(500).select(F.col("id").cast("string").alias("review_id"))
-    small = {r[0] for r in s.random_sample(df, 40, key=["review_id"]).collect()}
-    monkeypatch.setattr(s, "TOP_K_LIMIT", 0)
-    large = {r[0] for r in s.random_sample(df, 40, key=["review_id"]).collect()}
     order = sorted(range(500), key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())
-    assert small == large == {str(i) for i in order[:40]}
+    for n in (1, 40, 499):
+        drawn = {r[0] for r in s.random_sample(df, n, key=["review_id"]).collect()}
+        assert drawn == {str(i) for i in order[:n]}
 
 
 def test_without_strata_columns_a_plain_sample(spark):

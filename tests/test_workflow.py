@@ -195,3 +195,31 @@ def test_stopped_run_resumes_where_it_broke_off(spark, tmp_path):
     calls = open(log).read().split()
     assert len(calls) == len(set(calls)) == 100
     assert w.run_extraction(reviews, path, factory, "fixture", policy)["remaining"] == 0
+
+
+def test_half_a_stage_is_built_anew(spark, tmp_path):
+    path = str(tmp_path / "half")
+    spark.range(100).repartition(4).write.parquet(path)
+    (tmp_path / "half" / "_SUCCESS").unlink()
+    assert not files.is_finished(spark, path)
+    assert files.stage(spark, path, lambda: spark.range(7)).count() == 7
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("review_id,review_text,review_rating\n1,long enough to come first,5\n")
+    (tmp_path / "b.csv").write_text("review_rating,review_id,review_text\n9,5,swapped\n")
+    with pytest.raises(Exception):
+        files.read_reviews_csv(spark, str(tmp_path)).collect()
+
+
+def test_a_text_that_is_no_number_is_published_as_null(spark):
+    row = files.conform(spark.createDataFrame([("a", "1,234")], "review_id string, product_rating_count string"),
+                        schemas.REVIEWS).first()
+    assert row["product_rating_count"] is None
+
+
+def test_aspect_ids_do_not_change(spark):
+    rows = spark.createDataFrame([("a", "finish"), ("a", "finish"), ("b", "finish")], "review_id string, aspect string")
+    first = sorted(r.aspect_id for r in tables.with_aspect_id(rows).collect())
+    again = sorted(r.aspect_id for r in tables.with_aspect_id(rows.repartition(3)).collect())
+    assert first == again and len(set(first)) == 3

@@ -14,8 +14,6 @@ pieces of their own. An empty table gives no rows. Further columns of the input
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -23,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinarium.llm.arrays import mapped
 from opinarium.llm.bpe import little_endian, map_encoded
 from opinarium.session import stored
 
@@ -38,7 +35,11 @@ PATIENCE = 600
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, and a number that no other piece has."""
 
+    numbers: dict[int, int] = {}
+
     def each(code, block, ids, bounds):
+        task = TaskContext.get()
+        number = numbers.setdefault(task.taskAttemptId(), task.partitionId() << 33)
         rows, piece, start, length, crc = [], [], [], [], []
         for i in range(len(block)):
             own = np.append(ids[bounds[i]:bounds[i + 1]], END_ID)
@@ -51,22 +52,15 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
                 start.append(a)
                 length.append(b - a)
                 crc.append(zlib.crc32(packed[4 * a:4 * b]))
+        numbers[task.taskAttemptId()] = number + len(rows)
         return {"row": rows, "piece": pa.array(piece, pa.int32()), "start": start, "length": length,
-                "ids_crc32": pa.array(crc, pa.int64())}
+                "ids_crc32": pa.array(crc, pa.int64()),
+                "number": np.arange(number, number + len(rows), dtype=np.int64)}
 
     schema = T.StructType([docs.schema["doc_id"]]).add("piece", T.IntegerType()) \
-        .add("start", T.LongType()).add("length", T.LongType()).add("ids_crc32", T.LongType())
-    pieces = map_encoded(docs, path, schema, each, ["doc_id"])
-    numbered = T.StructType(list(schema)).add("number", T.LongType())
-
-    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            numbers = pa.array(np.arange(at, at + len(batch), dtype=np.int64))
-            at += len(batch)
-            yield pa.RecordBatch.from_arrays([*batch.columns, numbers], numbered.names)
-
-    return mapped(pieces, number, numbered)
+        .add("start", T.LongType()).add("length", T.LongType()).add("ids_crc32", T.LongType()) \
+        .add("number", T.LongType())
+    return map_encoded(docs, path, schema, each, ["doc_id"])
 
 
 class Packing:

@@ -295,7 +295,8 @@ def near_groups(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARIT
     labels = named.join(smallest, "root").select("node", "component_id")
     return sets.select("doc_id", "text_hash", "n_shingles", "node").join(labels, "node", "left") \
         .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))) \
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "text_hash", "n_shingles", "node", "component_id",
+                F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:

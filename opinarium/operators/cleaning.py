@@ -17,7 +17,7 @@ from opinarium.functions.text import remove_tags, strip
 from opinarium.schemas import RATING_MAX, RATING_MIN
 
 STRIPPED_COLUMNS = ("review_title", "author", "brand_name")
-NUMBER_COLUMNS = ("price", "mrp")
+NUMBER_COLUMNS = ("price", "mrp", "product_rating", "product_rating_count")
 FLAG_COLUMNS = ("is_a_buyer", "pro_user")
 RATING_COLUMNS = ("review_rating", "rating")
 

@@ -45,6 +45,7 @@ class CallPolicy:
     and goes on with the next review. Nothing ever replaces a missing answer.
     """
 
+    # Attempts, wait and pace of a default run.
     attempts: int = 3
     wait: float = 15.0
     pace: float = 4.1
@@ -84,8 +85,10 @@ def extract_reviews(reviews: DataFrame, factory: ExtractorFactory, method: str,
     """Raw answer, method, number of calls and error for each review.
 
     ``tasks`` deals the rows evenly over that many tasks, which bounds the calls made side
-    by side. Speculative execution should be off, as it would repeat calls.
+    by side. Speculative execution is refused, as it would repeat calls.
     """
+    if reviews.sparkSession.conf.get("spark.speculation", "false") == "true":
+        raise ValueError("spark.speculation would repeat calls, turn it off")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         extractor = factory()
@@ -182,8 +185,12 @@ def valid_answers(parsed: DataFrame) -> DataFrame:
 
 
 def rejected_answers(parsed: DataFrame) -> DataFrame:
-    """Answers that failed the schema or the vocabulary, with the reason."""
-    return parsed.filter(F.col("error").isNotNull()).select("review_id", "raw", "error")
+    """Answers that failed the schema or the vocabulary, with the reason.
+
+    A call without an answer is a reject too; its ``call_error`` is kept where there is one.
+    """
+    extra = [c for c in ("call_error",) if c in parsed.columns]
+    return parsed.filter(F.col("error").isNotNull()).select("review_id", "raw", "error", *extra)
 
 
 def aspect_rows(valid: DataFrame, keep_empty: bool = False,

@@ -57,6 +57,7 @@ REVIEWS = T.StructType([
 REVIEW_ASPECTS = T.StructType([
     _field("aspect_id", T.LongType(), False),
     _field("review_id", T.StringType(), False),
+    _field("pos", T.LongType(), False),
     _field("aspect", T.StringType(), False),
     _field("aspect_sentiment", T.StringType(), False),
     _field("issue", T.StringType()),

@@ -13,22 +13,33 @@ from opinarium.schemas import NA_TOKENS
 
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
+#: Sorts raw rows as they stand in their files.
+INGEST_ORDER = "ingest_order"
+
 
 def missing_to_null(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
-    """Turns the texts that stand for a missing value into nulls."""
-    return df.select(*[F.when(~F.col(c).isin(*tokens), F.col(c)).alias(c) for c in df.columns])
+    """Turns the texts that stand for a missing value into nulls; only text columns change."""
+    return df.select(*[F.when(~F.col(c).isin(*tokens), F.col(c)).alias(c) if t == "string" else c
+                       for c, t in df.dtypes])
 
 
 def read_reviews_csv(spark: SparkSession, path: str, tokens: Sequence[str] = NA_TOKENS,
-                     multiline: bool = True) -> DataFrame:
+                     multiline: bool = True, ingest_order: bool = False) -> DataFrame:
     """Raw reviews, every column a string, named by the header.
 
     Quoted cells may hold line breaks and doubled quotes. Such files are read one task per
     file; where no cell holds a line break, ``multiline=False`` lets Spark split large files.
     Files whose headers differ are refused, since their cells would land in wrong columns.
+    ``ingest_order`` adds the place of each row: its file, the block of the file that a task
+    read, and its number in the task.
     """
     raw = spark.read.csv(path, header=True, multiLine=multiline, quote='"', escape='"',
                          enforceSchema=False)
+    if ingest_order:
+        raw = raw.withColumn(INGEST_ORDER, F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row")))
     return missing_to_null(raw, tokens)
 
 

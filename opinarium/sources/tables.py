@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from opinarium.operators import integrity
 from opinarium.operators.resume import first_per_key
 from opinarium.schemas import REVIEW_ASPECTS, REVIEWS
+from opinarium.session import removed, stored_at
 from opinarium.sources.files import conform
 
 
@@ -31,15 +32,12 @@ def with_aspect_id(aspects: DataFrame) -> DataFrame:
     if "pos" not in aspects.columns:
         others = sorted(c for c in aspects.columns if c != "review_id")
         place = F.row_number().over(Window.partitionBy("review_id").orderBy(*others))
-        return aspects.withColumn("aspect_id", F.xxhash64("review_id", place - 1))
+        aspects = aspects.withColumn("pos", (place - 1).cast("bigint"))
     return aspects.withColumn("aspect_id", F.xxhash64("review_id", "pos"))
 
 
 def assert_loadable(reviews: DataFrame, aspects: DataFrame) -> None:
-    """Raises unless ids are unique, required columns are filled and no aspect is orphaned."""
-    key = integrity.check_primary_key(reviews).first()
-    if key["total_rows"] != key["distinct_ids"]:
-        raise IntegrityError(key["primary_key_status"])
+    """Raises unless required columns are filled and no aspect is orphaned."""
     broken = integrity.check_tables(reviews, aspects).filter(
         (F.col("rule") == "not_null") & (F.col("violations") > 0)).first()
     if broken is not None:
@@ -62,14 +60,17 @@ def save_tables(spark: SparkSession, reviews: DataFrame, aspects: DataFrame,
                 order: Sequence[Column | str] = ()) -> None:
     """Replaces both tables. Of a repeated review id the first row by ``order`` is kept.
 
-    The inputs are read more than once and should be stored tables. With ``buckets`` both
+    The inputs are computed once: what is checked is what is published. With ``buckets`` both
     tables are bucketed by review id, and later joins on it need no shuffle.
     """
-    unique = conform(first_per_key(reviews, ["review_id"], order), REVIEWS)
-    numbered = conform(with_aspect_id(aspects), REVIEW_ASPECTS)
+    unique, unique_folder = stored_at(
+        conform(first_per_key(reviews, ["review_id"], order), REVIEWS), "reviews")
+    numbered, numbered_folder = stored_at(conform(with_aspect_id(aspects), REVIEW_ASPECTS), "aspects")
     assert_loadable(unique, numbered)
     _save(unique, names.reviews, buckets)
     _save(numbered, names.aspects, buckets)
+    removed(spark, unique_folder)
+    removed(spark, numbered_folder)
 
 
 def save_summary(summary: DataFrame, names: TableNames = TableNames()) -> None:

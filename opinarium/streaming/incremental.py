@@ -12,7 +12,9 @@ from opinarium.functions.text import id_key
 from opinarium.operators.resume import first_per_key, pending_reviews
 from opinarium.sources.files import read_or_empty
 
-_BATCH = T.StructField("batch_id", T.LongType())
+# A batch is named by the run whose progress folder counts it, and its number there.
+_BATCH = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+_RUN_PROPERTY = "sql.streaming.queryId"
 
 
 def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
@@ -23,7 +25,9 @@ def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
 
     Each micro-batch keeps the first row of every id, drops the ids that earlier batches or
     ``processed`` hold, and writes a folder of its own. A batch that is repeated after a
-    failure overwrites its own folder only, so no review is lost or added twice.
+    failure overwrites its own folder only, so no review is lost or added twice. Spark keeps
+    the name of a run in its progress folder: runs with other folders, or with a new one after
+    a loss, add to the target and replace nothing.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
@@ -32,13 +36,14 @@ def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
 
     def add(batch: DataFrame, batch_id: int) -> None:
         rows = first_per_key(prepared(batch), [key], order)
-        layout = T.StructType([rows.schema[key], _BATCH])
+        layout = T.StructType([rows.schema[key], *_BATCH])
+        run = batch.sparkSession.sparkContext.getLocalProperty(_RUN_PROPERTY)
         earlier = read_or_empty(batch.sparkSession, target, layout)
-        seen = earlier.filter(F.col("batch_id") != batch_id).select(key)
+        seen = earlier.filter((F.col("run") != run) | (F.col("batch_id") != batch_id)).select(key)
         if processed is not None:
             seen = seen.unionByName(processed.select(key))
         fresh = pending_reviews(rows, seen, key)
-        fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{target}/run={run}/batch_id={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(add)
@@ -47,7 +52,7 @@ def add_new_reviews(stream: DataFrame, target: str, checkpoint: str,
         .start()
     )
     query.awaitTermination()
-    layout = T.StructType([*prepared(stream).schema.fields, _BATCH])
+    layout = T.StructType([*prepared(stream).schema.fields, *_BATCH])
     return read_or_empty(stream.sparkSession, target, layout)
 
 

@@ -41,7 +41,7 @@ def test_nothing_arrived_yet(spark, tmp_path):
     (tmp_path / "in").mkdir()
     out = add_new_reviews(stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "p"))
     assert out.count() == 0
-    assert out.columns == ["review_id", "review_text", "batch_id"]
+    assert out.columns == ["review_id", "review_text", "run", "batch_id"]
 
 
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):

@@ -7,13 +7,16 @@ local search: documents of the least filled sequence move to others, one is exch
 one for two, whenever this raises the sum of squared fills, until sequences are empty or nothing
 can be gained. A group wastes less than one sequence beyond what its search leaves.
 
-Null and empty texts are one end id long. Documents that repeat, with or without an id, are
+Ids are those of the tokenizer's own library, which reads a marker that stands in a text as its
+one id. Null and empty texts are one end id long. Documents that repeat, with or without an id, are
 pieces of their own. An empty table gives no rows. Further columns of the input are not used.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -21,28 +24,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinarium.llm.arrays import block_of
 from opinarium.llm.bpe import little_endian, map_encoded
 from opinarium.session import stored
 
 CAPACITY = 2048
 END_ID = 0
+#: Fixed value: the added token of the tokenizer and its id.
+MARKERS = {"<|endoftext|>": 50256}
 #: Pieces of a group on average; groups are packed independently of each other.
 GROUP_PIECES = 16384
 #: The search in a group ends after so many donors in a row that could not be emptied.
 PATIENCE = 600
 
 
+def _with_markers(code, text: bytes, markers: dict[str, int]) -> np.ndarray:
+    """The ids of a text, with every marker in it as its own id."""
+    parts = re.split("(" + "|".join(map(re.escape, markers)) + ")", text.decode())
+    ids, bounds = code.encode(block_of(parts[::2]))
+    made = [ids[bounds[0]:bounds[1]]]
+    for k, marker in enumerate(parts[1::2], 1):
+        made += [[markers[marker]], ids[bounds[k]:bounds[k + 1]]]
+    return np.concatenate(made)
+
+
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, and a number that no other piece has."""
 
     numbers: dict[int, int] = {}
+    signs = [m.encode() for m in MARKERS]
 
     def each(code, block, ids, bounds):
         task = TaskContext.get()
         number = numbers.setdefault(task.taskAttemptId(), task.partitionId() << 33)
         rows, piece, start, length, crc = [], [], [], [], []
         for i in range(len(block)):
-            own = np.append(ids[bounds[i]:bounds[i + 1]], END_ID)
+            own = ids[bounds[i]:bounds[i + 1]]
+            if any(sign in (text := block.text(i)) for sign in signs):
+                own = _with_markers(code, text, MARKERS)
+            own = np.append(own, END_ID)
             packed, total = memoryview(little_endian(own)), len(own)
             first = (total - 1) % capacity + 1
             cuts = [0, *range(first, total + 1, capacity)]

@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_file
 from opinarium.llm import arrays, bpe, components, licenses, near_dedup, packing, queries, secrets, sharding, toxicity
@@ -86,6 +87,16 @@ def test_packing(spark, texts, library):
     assert len(places) <= -(-sum(r["length"] for r in rows) // 2048) * 1.01 + 1
 
 
+def test_packed_ids_equal_those_of_the_tokenizers_library(spark):
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    made = ["", "plain text", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>é", "x<|endoftext|", "it's  I'LL"]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in packing.pack_documents(docs, queries.ranks_path()).collect()}
+    for i, text in enumerate(made):
+        ids = np.array([*own.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+        assert (rows[i]["length"], rows[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_local_search_empties_a_sequence():
     best_fit = packing.Packing(np.array([60, 50, 50, 40, 35, 35, 30]), 100)
     best_fit.best_fit()

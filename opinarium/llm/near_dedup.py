@@ -274,14 +274,17 @@ def similar_links(docs: DataFrame, sets: DataFrame, words: int, similarity: int)
 
     links = link(buckets.filter("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
     roots = components(links)
+
+    def with_more(more: DataFrame) -> DataFrame:
+        """Components of all links so far: the known ones are stars already, so few steps are left."""
+        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+
     small = _placed(buckets, roots).filter(F.col("size") * F.col("strays") <= PAIRS_OF_BUCKET)
     if not small.isEmpty():
-        links = links.unionByName(link(_stray_pairs(small)))
-        roots = components(links)
+        roots = with_more(link(_stray_pairs(small)))
     large = _placed(buckets, roots).filter(F.col("size") * F.col("strays") > PAIRS_OF_BUCKET)
     if not large.isEmpty():
-        links = links.unionByName(_block_links(large, sets, docs, words, similarity))
-        roots = components(links)
+        roots = with_more(_block_links(large, sets, docs, words, similarity))
     return roots
 
 

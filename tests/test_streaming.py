@@ -63,3 +63,12 @@ def test_repeats_within_the_delay_are_dropped(spark, tmp_path):
              .option("checkpointLocation", str(tmp_path / "p")).start())
     query.awaitTermination()
     assert spark.table("recent").count() == 2
+
+
+def test_another_run_adds_and_replaces_nothing(spark, tmp_path):
+    target = str(tmp_path / "out")
+    for name, ids in (("a", "123"), ("b", "378")):
+        arrive(spark, str(tmp_path / name), [(i, name) for i in ids])
+        out = add_new_reviews(stream(spark, str(tmp_path / name)), target, str(tmp_path / f"progress-{name}"))
+    assert sorted((r["review_id"], r["review_text"]) for r in out.collect()) == [
+        ("1", "a"), ("2", "a"), ("3", "a"), ("7", "b"), ("8", "b")]

@@ -223,3 +223,50 @@ def test_aspect_ids_do_not_change(spark):
     first = sorted(r.aspect_id for r in tables.with_aspect_id(rows).collect())
     again = sorted(r.aspect_id for r in tables.with_aspect_id(rows.repartition(3)).collect())
     assert first == again and len(set(first)) == 3
+
+
+def test_first_of_repeated_ids_is_published_and_failed_calls_are_rejects(spark, tmp_path):
+    raw, named = str(tmp_path / "raw.csv"), names("repeated")
+    texts = ["fails", *["vague" if i % 2 else "clear" for i in range(1, 20)]]
+    rows = [f"{i},P1,B,T,{text} first,3,,1,1,x" for i, text in enumerate(texts)]
+    rows += [f" {i} ,P1,B,T,{'clear' if i % 2 else 'vague'} second,3,,1,1,x" for i in range(20)]
+    write_raw(raw, [*rows, ",P1,B,T,no id,3,,1,1,x"])
+
+    def factory():
+        def extract(review_id, text):
+            if text.startswith("fails"):
+                raise RuntimeError("no service")
+            return answering(review_id, text)
+        return extract
+
+    config = w.WorkflowConfig(raw, str(tmp_path / "work"), sample_size=100, names=named)
+    policy = ex.CallPolicy(pace=0, attempts=1, on_error=ex.REJECT)
+    out = w.run_workflow(spark, config, factory, "fixture", policy)
+    published = {r["review_id"]: r for r in out["reviews"].collect()}
+    assert set(published) == {str(i) for i in range(1, 20)}
+    for i in range(1, 20):
+        row = published[str(i)]
+        assert row["review_text"] == f"{texts[i]} first"
+        assert row["overall_sentiment"] == ("neutral" if i % 2 else "mixed")
+    (rejected,) = out["rejected"].collect()
+    assert (rejected["review_id"], rejected["error"], rejected["call_error"]) == ("0", "no_answer", "no service")
+
+
+def test_calls_of_a_round_come_from_all_tasks(spark, tmp_path):
+    log = str(tmp_path / "tasks")
+
+    def factory():
+        from pyspark import TaskContext
+
+        def extract(review_id, text):
+            with open(log, "a") as out:
+                out.write(f"{TaskContext.get().partitionId()}\n")
+            return "{}"
+        return extract
+
+    reviews = spark.range(200).selectExpr("cast(id as string) as review_id", "'t' as review_text")
+    policy = ex.CallPolicy(pace=0, on_error=ex.REJECT)
+    w.run_extraction(reviews, str(tmp_path / "out"), factory, "fixture", policy, tasks=4)
+    assert set(open(log).read().split()) == {"0", "1", "2", "3"}
+    with pytest.raises(ValueError, match="rejects"):
+        w.run_extraction(reviews, str(tmp_path / "out"), factory, "fixture", ex.CallPolicy(pace=0))

@@ -184,14 +184,14 @@ _PRODUCT = "product_id, brand_name, product_title"
 _KEPT = "review_text <> '' AND review_rating BETWEEN 1 AND 5"
 
 
-def _weights(keys: str, entity: str, min_rows: int, weight: str) -> str:
+def _weights(keys: str, entity: str, min_rows: int, weight: str, where: str = "true") -> str:
     return f"""
         SELECT {keys}, aspect, aspect_mentions, negative_mentions,
           {_pct("negative_mentions", "aspect_mentions")} AS negative_rate_pct,
           {_pct("negative_mentions", "all_mentions")} AS {weight}
         FROM (SELECT {keys}, aspect, count(*) AS aspect_mentions, {_NEG} AS negative_mentions,
                 CAST(sum(count(*)) OVER (PARTITION BY {entity}) AS BIGINT) AS all_mentions
-              FROM mentions WHERE {entity} IS NOT NULL GROUP BY {keys}, aspect)
+              FROM mentions WHERE {entity} IS NOT NULL AND {where} GROUP BY {keys}, aspect)
         WHERE negative_mentions > 0 AND aspect_mentions >= {min_rows}"""
 
 
@@ -281,6 +281,12 @@ def _violations(prefix: str, reviews: str, aspects: str) -> list[str]:
 _DONE = "SELECT trim(review_id) FROM checkpoint_reviews"
 
 ORACLES: dict[str, str] = {
+    "f01_brand_filter": _with("mentions", _weights(
+        _PRODUCT, "product_id", 3, "negative_weight_pct",
+        "brand_name IN ('BUILDING', 'MACHINERY')")),
+    "f02_top_pain_points": _with("mentions", _weights(
+        _PRODUCT, "product_id", 3, "negative_weight_pct") + f"""
+        ORDER BY negative_weight_pct DESC, negative_rate_pct DESC, {_PRODUCT}, aspect LIMIT 20"""),
     "q01_overall_sentiment": _with("reviews", f"""
         SELECT overall_sentiment, review_count,
           {_pct("review_count", "(SELECT count(*) FROM reviews)")} AS percentage

@@ -20,6 +20,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AUDIT_SIZE = 30
 PROFILE_DIGITS = 4
+FILTERED_BRANDS = ("BUILDING", "MACHINERY")
+TOP_ROWS = 20
 
 
 def _on_reviews(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -187,7 +189,17 @@ def count_values(spark: SparkSession, sf: str) -> DataFrame:
     return counted.unionByName(sources)
 
 
+def brand_filter(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
+    return analysis.priority_pain_points(reviews, aspects, brands=FILTERED_BRANDS)
+
+
+def top_pain_points(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
+    return analysis.priority_pain_points(reviews, aspects, top=TOP_ROWS)
+
+
 QUERIES: dict[str, Query] = {
+    "f01_brand_filter": _on_both(brand_filter),
+    "f02_top_pain_points": _on_both(top_pain_points),
     "q01_overall_sentiment": _on_reviews(analysis.overall_sentiment),
     "q02_product_sentiment_rank": _on_reviews(analysis.product_sentiment_rank),
     "q03_product_aspect_mentions": _on_both(analysis.product_aspect_mentions),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import sys
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +16,9 @@ from opinarium.functions.parse import nan_to_null
 from opinarium.operators.cleaning import long_report
 
 QUARTILES = (0.25, 0.5, 0.75)
+#: Cells into which a round of quartile search cuts a range.
+CELLS = 4096
+_LARGEST = sys.float_info.max
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -51,15 +57,16 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, columns: Sequence[str], top: int | None = None) -> DataFrame:
     """How often each non-null value of each given column occurs, in one pass.
 
-    ``top`` keeps that many of the most frequent values of every column.
+    ``top`` keeps that many of the most frequent values of every column. Each column then is a
+    plan of its own that reads this column only, and every task passes on ``top`` values at most.
     """
+    if top is not None:
+        parts = [value_counts(df, [c]).orderBy(F.desc("n"), "value").limit(top) for c in columns]
+        return reduce(DataFrame.unionByName, parts).orderBy("column_name", F.desc("n"), "value")
     texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     long = texts.unpivot([], list(columns), "column_name", "value")
     counts = long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n"))
-    if top is not None:
-        place = F.row_number().over(W.partitionBy("column_name").orderBy(F.desc("n"), "value"))
-        counts = counts.withColumn("_place", place).filter(F.col("_place") <= top).drop("_place")
     return counts.orderBy("column_name", F.desc("n"), "value")
 
 
@@ -72,15 +79,73 @@ def _scalar_row(df: DataFrame) -> Column:
     return df.select(F.struct(*df.columns)).scalar()
 
 
+def _at_ranks(numbers: DataFrame, guesses: Mapping[tuple[int, int], tuple[float, float]],
+              whole: Sequence[tuple[float, float]]) -> dict[tuple[int, int], float]:
+    """The value at each (column, rank), ranks counted from 0.
+
+    A rank starts in the range guessed for it, or in the ``whole`` range of its column if the
+    guess does not hold it. Every round replaces the range by the smallest and the largest
+    value of a cell in it, until both are one value.
+    """
+    if not guesses:
+        return {}
+    spans = sorted({(i, *guess) for (i, _), guess in guesses.items()})
+    ends = numbers.agg(*[
+        F.struct(F.count_if(F.col(f"c{i}") < low), F.count_if(F.col(f"c{i}") <= high))
+        for i, low, high in spans]).first()
+    held = dict(zip(spans, ends))
+    ranges = {}
+    for (i, rank), guess in guesses.items():
+        below, upto = held[i, *guess]
+        ranges[i, rank] = (*guess, below) if below <= rank < upto else (*whole[i], 0)
+    values = {}
+    while ranges:
+        values |= {key: low for key, (low, high, _) in ranges.items() if low == high}
+        ranges = {key: span for key, span in ranges.items() if key not in values}
+        if ranges:
+            ranges = _narrowed(numbers, ranges)
+    return values
+
+
+def _narrowed(numbers: DataFrame, ranges: dict) -> dict:
+    """For each (column, rank) the cell of its range that holds it: least and largest value, and
+    the rows before it. Rows are counted per cell, so no task gets more than ``CELLS`` rows of a
+    range. The largest value has a cell of its own, so every round makes a range smaller.
+    """
+    spans = sorted({(i, low, high) for (i, _), (low, high, _) in ranges.items()})
+    inside, hits = F.lit(False), []
+    for n, (i, low, high) in enumerate(spans):
+        x = F.col(f"c{i}")
+        start, end = (min(max(v, -_LARGEST), _LARGEST) / 2 for v in (low, high))
+        place = F.floor(F.try_divide(x / 2 - start, F.lit(end - start)) * (CELLS - 2))
+        place = F.greatest(F.lit(0), F.least(F.coalesce(place, F.lit(0)), F.lit(CELLS - 2)))
+        cell = F.when(x == high, F.lit(CELLS - 1)).otherwise(place).cast("int")
+        inside = inside | x.between(low, high)
+        hits.append(F.when(x.between(low, high), F.struct(
+            F.lit(n).alias("span"), cell.alias("cell"), x.alias("x"))))
+    found = numbers.filter(inside).select(F.inline(F.array_compact(F.array(*hits))))
+    cells = found.groupBy("span", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    earlier = W.partitionBy("span").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    ranks = numbers.sparkSession.createDataFrame(
+        [(spans.index((i, low, high)), i, rank, rank - base, base)
+         for (i, rank), (low, high, base) in ranges.items()],
+        "span int, i int, rank bigint, place bigint, base bigint")
+    place = F.col("place")
+    rows = cells.join(F.broadcast(ranks), "span").filter(
+        (place >= F.col("before")) & (place < F.col("before") + F.col("n"))).collect()
+    return {(r["i"], r["rank"]): (r["low"], r["high"], r["base"] + r["before"]) for r in rows}
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None,
              digits: int | None = None, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column.
 
-    Quartiles interpolate between neighbours and are exact without gathering a column in one
-    task. A first job computes the moments and a quantile sketch, whose rank error is at most
-    one row in ``accuracy``; its one result row gives each quartile a bracket. After that,
-    rows below a bracket are only counted and just the distinct values inside it are ordered.
-    A bracket that missed its rank would stop the job rather than return an estimate.
+    Quartiles interpolate between neighbours and are exact without ordering a column. A first
+    job computes the moments and a quantile sketch, which gives each quartile a range it
+    probably lies in; :func:`_at_ranks` then narrows the ranges by counting. ``accuracy`` is
+    that of the sketch and only decides how many rounds this takes.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     numbers = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}")
@@ -94,55 +159,28 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None,
         for c in numbers.columns]
     known = numbers.agg(*basics).first()
 
-    # (column, quartile, rank counted from 0, low and high end of the bracket)
-    brackets = []
+    guesses = {}
     for i, column in enumerate(known):
         for q, point in enumerate(QUARTILES if column["count"] else ()):
-            if column["count"] <= 4 * accuracy:
-                # So few values that the margin could be less than a row: order them all.
-                low, high = column["min"], column["max"]
-            else:
-                low, high = column["edges"][2 * q:2 * q + 2]
-            brackets.append((i, q, point * (column["count"] - 1), low, high))
-    below = numbers.agg(*[F.count_if(F.col(f"c{i}") < low).alias(f"b{n}")
-                          for n, (i, _, _, low, _) in enumerate(brackets)] or [F.lit(0)])
-    below = below.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"),
-                 F.lit(None).cast("double").alias("v"), F.col(f"b{n}").alias("k"))
-        for n, (i, q, *_) in enumerate(brackets)]).cast(
-            "array<struct<i:int,q:int,v:double,k:bigint>>")))
-    hits = [F.when(F.col(f"c{i}").between(low, high),
-                   F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"),
-                            F.col(f"c{i}").alias("v")))
-            for i, q, _, low, high in brackets]
-    found = numbers.select(F.inline(F.array_compact(F.array(*hits).cast(
-        "array<struct<i:int,q:int,v:double>>"))))
-    values = found.groupBy("i", "q", "v").agg(F.count(F.lit(1)).alias("k"))
-
-    # The row without a value carries what lies below the bracket and sorts first.
-    running = W.partitionBy("i", "q").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = values.unionByName(below).withColumn("upto", F.sum("k").over(running))
-    ranks = df.sparkSession.createDataFrame(
-        [(i, q, float(rank)) for i, q, rank, _, _ in brackets], "i int, q int, rank double")
-    ranked = ranked.join(F.broadcast(ranks), ["i", "q"])
-    rank, value = F.col("rank"), F.col("v")
-    quartiles = ranked.groupBy("i", "q", "rank").agg(
-        F.min(F.when(F.col("upto") > F.floor(rank), value)).alias("v0"),
-        F.min(F.when(F.col("upto") > F.ceil(rank), value)).alias("v1"),
-        F.max(F.when(value.isNull(), F.col("k"))).alias("start"))
-    exact = (F.col("start") <= F.floor(rank)) & F.col("v1").isNotNull()
-    point = F.when(exact, F.col("v0") + (F.col("v1") - F.col("v0")) * (rank - F.floor(rank)))
-    missed = F.raise_error(F.lit("a quantile bracket missed its rank, raise the accuracy"))
-    quartiles = quartiles.withColumn("point", point.otherwise(missed.cast("double")))
-    points = quartiles.groupBy("i").agg(
-        *[F.max(F.when(F.col("q") == q, F.col("point"))).alias(f"p{int(100 * p)}")
-          for q, p in enumerate(QUARTILES)])
+            rank = point * (column["count"] - 1)
+            for whole in (math.floor(rank), math.ceil(rank)):
+                guesses[i, whole] = tuple(column["edges"][2 * q:2 * q + 2])
+    values = _at_ranks(numbers, guesses, [(c["min"], c["max"]) for c in known])
+
+    def quartile(i: int, point: float) -> float | None:
+        if not known[i]["count"]:
+            return None
+        rank = point * (known[i]["count"] - 1)
+        low, high = values[i, math.floor(rank)], values[i, math.ceil(rank)]
+        return low if low == high else low + (high - low) * (rank - math.floor(rank))
 
     fields = ("count", "mean", "std", "min", "max")
-    table = df.sparkSession.createDataFrame(
-        [(i, name, *[known[i][f] for f in fields]) for i, name in enumerate(names)],
-        "i int, column_name string, count bigint, mean double, std double, min double, max double")
-    out = table.join(points, "i", "left").orderBy("i")
+    points = [f"p{int(100 * p)}" for p in QUARTILES]
+    out = df.sparkSession.createDataFrame(
+        [(i, name, *[known[i][f] for f in fields], *[quartile(i, p) for p in QUARTILES])
+         for i, name in enumerate(names)],
+        "i int, column_name string, count bigint, "
+        + ", ".join(f"{f} double" for f in (*fields[1:], *points))).orderBy("i")
 
     def shown(name: str) -> Column:
         return F.col(name) if digits is None else F.round(name, digits).alias(name)

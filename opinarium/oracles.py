@@ -13,9 +13,6 @@ from opinarium.fixtures import (
     RESPONSES,
     SENTIMENT_OF_FLAG,
 )
-from opinarium.functions.measures import DISCOUNT_BANDS
-from opinarium.operators.integrity import KEY_BROKEN, KEY_OK
-from opinarium.schemas import DEFAULT_SAMPLE_SIZE, DEFAULT_SEED
 
 _WS = (r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
        r"\x{202f}\x{205f}\x{3000}]")
@@ -36,10 +33,12 @@ def _choose(value: str, cases: dict, other: str) -> str:
 
 
 _DISCOUNT = "100 * (mrp - price) / mrp"
-_BAND = f"""CASE WHEN {_DISCOUNT} <= 0 THEN '{DISCOUNT_BANDS[0]}'
-    WHEN {_DISCOUNT} <= 10 THEN '{DISCOUNT_BANDS[1]}'
-    WHEN {_DISCOUNT} <= 20 THEN '{DISCOUNT_BANDS[2]}'
-    WHEN {_DISCOUNT} <= 30 THEN '{DISCOUNT_BANDS[3]}' ELSE '{DISCOUNT_BANDS[4]}' END"""
+_BAND = f"""CASE WHEN {_DISCOUNT} <= 0 THEN 'No discount'
+    WHEN {_DISCOUNT} <= 10 THEN '0-10%'
+    WHEN {_DISCOUNT} <= 20 THEN '10-20%'
+    WHEN {_DISCOUNT} <= 30 THEN '20-30%' ELSE '30%+' END"""
+
+_KEPT = "review_text <> '' AND review_rating BETWEEN 1 AND 5"
 
 _VIEWS = {
     "reviews": """
@@ -105,15 +104,15 @@ _VIEWS = {
         FROM raw_reviews""",
     "sampled": f"""
         SELECT * EXCLUDE (place, size, whole, quota) FROM (
-          SELECT *, round_even({DEFAULT_SAMPLE_SIZE} / CAST(whole AS DOUBLE) * size, 0) AS quota
+          SELECT *, round_even(1500 / CAST(whole AS DOUBLE) * size, 0) AS quota
           FROM (SELECT *, count(*) OVER () AS whole,
                   count(*) OVER (PARTITION BY brand_name, review_rating) AS size,
                   row_number() OVER (PARTITION BY brand_name, review_rating
-                    ORDER BY md5(concat('{DEFAULT_SEED}|', review_id))) AS place
+                    ORDER BY md5(concat('42|', review_id))) AS place
                 FROM reviews))
         ORDER BY CASE WHEN place <= quota THEN 0 ELSE 1 END,
-          md5(concat('{DEFAULT_SEED}|', review_id))
-        LIMIT {DEFAULT_SAMPLE_SIZE}""",
+          md5(concat('42|', review_id))
+        LIMIT 1500""",
     "judged": """
         SELECT review_id, raw, CASE
             WHEN NOT json_valid(raw) THEN 'invalid_json'
@@ -140,6 +139,16 @@ _VIEWS = {
           lower(trim(json_extract_string(item, '$.aspect_sentiment'))) AS aspect_sentiment,
           json_extract_string(item, '$.issue') AS issue
         FROM answered_aspects""",
+    "read_files": """
+        SELECT *, 1 AS file FROM cleaned
+        UNION ALL SELECT * REPLACE ('A later text' AS review_text), 2 FROM cleaned
+        WHERE CAST(review_id AS BIGINT) % 10 = 0""",
+    "first_rows": f"""
+        SELECT * FROM read_files WHERE {_KEPT}
+        QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY file) = 1""",
+    "called": """
+        SELECT review_id, raw, CASE WHEN CAST(review_id AS BIGINT) % 20 = 6 THEN 'no_answer'
+          ELSE error END AS error FROM judged""",
     "extracted": """
         SELECT review_id, CASE CAST(review_rating AS INTEGER) WHEN 1 THEN 'negative'
             WHEN 2 THEN 'negative' WHEN 3 THEN 'mixed' WHEN 4 THEN 'neutral'
@@ -159,6 +168,9 @@ _PARENTS = {
     "answered_aspects": ["judged"],
     "answered_rows": ["answered_aspects"],
     "extracted": ["reviews"],
+    "read_files": ["cleaned"],
+    "first_rows": ["read_files"],
+    "called": ["judged"],
 }
 
 
@@ -181,7 +193,6 @@ def _with(views: str, body: str) -> str:
 
 _NEG = "count(*) FILTER (WHERE aspect_sentiment = 'negative')"
 _PRODUCT = "product_id, brand_name, product_title"
-_KEPT = "review_text <> '' AND review_rating BETWEEN 1 AND 5"
 
 
 def _weights(keys: str, entity: str, min_rows: int, weight: str, where: str = "true") -> str:
@@ -287,6 +298,10 @@ ORACLES: dict[str, str] = {
     "f02_top_pain_points": _with("mentions", _weights(
         _PRODUCT, "product_id", 3, "negative_weight_pct") + f"""
         ORDER BY negative_weight_pct DESC, negative_rate_pct DESC, {_PRODUCT}, aspect LIMIT 20"""),
+    "f03_brand_ratings": _with("reviews", _shares(
+        "reviews", "review_rating, overall_sentiment", "review_rating", "sentiment_count",
+        "total_reviews", "sentiment_pct",
+        "review_rating IS NOT NULL AND brand_name IN ('BUILDING', 'MACHINERY')")),
     "q01_overall_sentiment": _with("reviews", f"""
         SELECT overall_sentiment, review_count,
           {_pct("review_count", "(SELECT count(*) FROM reviews)")} AS percentage
@@ -384,7 +399,7 @@ ORACLES: dict[str, str] = {
           AND p.review_rating IS NOT DISTINCT FROM s.review_rating"""),
     "s03_random_sample": _with("reviews", f"""
         SELECT review_id, overall_sentiment, review_text FROM reviews
-        ORDER BY md5(concat('{DEFAULT_SEED}|', review_id)) LIMIT 30"""),
+        ORDER BY md5(concat('42|', review_id)) LIMIT 30"""),
     "x01_parse_extractions": _with("judged answered_rows", """
         SELECT j.review_id, lower(trim(json_extract_string(j.raw, '$.overall_sentiment')))
             AS overall_sentiment, a.pos, a.aspect, a.aspect_sentiment, a.issue
@@ -419,12 +434,27 @@ ORACLES: dict[str, str] = {
           count(*) FILTER (WHERE review_id IN ({_DONE})) AS already_done,
           count(*) FILTER (WHERE review_id NOT IN ({_DONE})) AS remaining
         FROM reviews"""),
+    "x09_retry_policy": _with("reviews", """
+        SELECT review_id, CAST(CASE WHEN kind IN (0, 1) THEN 3 ELSE 1 END AS INTEGER) AS attempts,
+          CASE kind WHEN 1 THEN 'quota exceeded' WHEN 2 THEN '401 unauthenticated'
+            WHEN 3 THEN 'connection reset' END AS error,
+          kind NOT IN (1, 2, 3) AS answered
+        FROM (SELECT review_id, CAST(review_id AS BIGINT) % 10 AS kind FROM reviews)"""),
+    "w01_workflow": _with("first_rows called", """
+        SELECT review_id, CASE WHEN error IS NULL THEN 'published' ELSE 'rejected' END AS status,
+          CASE WHEN error IS NULL THEN brand_name END AS brand_name,
+          CASE WHEN error IS NULL THEN review_text END AS review_text,
+          CASE WHEN error IS NULL THEN json_extract_string(raw, '$.overall_sentiment') END
+            AS overall_sentiment,
+          CASE WHEN error IS NULL THEN CAST(coalesce(json_array_length(raw, '$.aspects'), 0) AS BIGINT) END
+            AS aspect_count, error
+        FROM first_rows JOIN called USING (review_id)"""),
     "v01_row_counts": _with("reviews review_aspects", """
         SELECT 'reviews' AS table_name, (SELECT count(*) FROM reviews) AS row_count
         UNION ALL SELECT 'review_aspects', (SELECT count(*) FROM review_aspects)"""),
     "v02_primary_key": _with("reviews_with_dups", f"""
         SELECT n AS total_rows, d AS distinct_ids,
-          CASE WHEN n > d THEN '{KEY_BROKEN}' ELSE '{KEY_OK}' END AS primary_key_status
+          CASE WHEN n > d THEN 'FAIL: Duplicate review_ids detected' ELSE 'PASS: All review_ids are unique' END AS primary_key_status
         FROM (SELECT count(*) AS n, count(DISTINCT review_id) AS d FROM reviews_with_dups)"""),
     "v03_orphan_aspects": _with("reviews aspects_with_orphans", """
         SELECT a.* FROM aspects_with_orphans a
@@ -466,6 +496,10 @@ ORACLES: dict[str, str] = {
     "p07_rating_distribution": _with("reviews", """
         SELECT review_rating, count(*) AS review_count
         FROM reviews WHERE review_rating IS NOT NULL GROUP BY ALL"""),
+    "p09_top_values": _with("reviews", "\nUNION ALL ".join(
+        "SELECT * FROM (" + _values(c, "reviews")
+        + f" QUALIFY row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) <= 10)"
+        for c in ("product_title", "review_rating"))),
     "p08_column_info": _with("raw_reviews", "\nUNION ALL ".join(
         f"SELECT CAST({i} AS INTEGER) AS place, '{c}' AS column_name, 'string' AS dtype, "
         f"count({c}) AS non_null_count, count(*) AS row_count, "

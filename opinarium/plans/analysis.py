@@ -1,12 +1,14 @@
 """The business questions, each a short plan over the metric operators.
 
 ``reviews`` has one row per review and ``aspects`` one row per aspect mention. All sorts end
-in the grouping keys, so equal measures always come out in the same order.
+in the grouping keys, so equal measures always come out in the same order. Every report over
+reviews takes ``brands``, which keeps the reviews of these brands only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,17 @@ def for_brands(reviews: DataFrame, brands: Sequence[str] | None) -> DataFrame:
     return reviews if not brands else reviews.filter(F.col("brand_name").isin(*brands))
 
 
+def by_brand(report: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Gives a report the argument ``brands``: only the reviews of these brands count."""
+
+    @wraps(report)
+    def filtered(reviews: DataFrame, *args, brands: Sequence[str] | None = None,
+                 **kwargs) -> DataFrame:
+        return report(for_brands(reviews, brands), *args, **kwargs)
+
+    return filtered
+
+
 def mentions(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     """Aspect mentions with the columns of their review. Reviews without aspects drop out.
 
@@ -49,12 +62,14 @@ def _is_negative():
 # --- review level ---------------------------------------------------------------------
 
 
+@by_brand
 def overall_sentiment(reviews: DataFrame) -> DataFrame:
     counts = m.count_by(reviews, ["overall_sentiment"], "review_count")
     out = m.share_of_total(counts, [], "review_count", "_all", "percentage").drop("_all")
     return m.ordered(out, F.desc("review_count"), "overall_sentiment")
 
 
+@by_brand
 def product_sentiment_rank(reviews: DataFrame) -> DataFrame:
     base = m.require_keys(reviews, "product_id")
     counts = m.count_by(base, [*PRODUCT, "overall_sentiment"], "sentiment_count")
@@ -64,6 +79,7 @@ def product_sentiment_rank(reviews: DataFrame) -> DataFrame:
     return m.ordered(out, "product_id", "sentiment_rank", "overall_sentiment", *PRODUCT[1:])
 
 
+@by_brand
 def rating_alignment(reviews: DataFrame) -> DataFrame:
     base = m.require_keys(reviews, "review_rating")
     counts = m.count_by(base, ["review_rating", "overall_sentiment"], "sentiment_count")
@@ -72,6 +88,7 @@ def rating_alignment(reviews: DataFrame) -> DataFrame:
     return m.ordered(out, "review_rating", F.desc("sentiment_pct"), "overall_sentiment")
 
 
+@by_brand
 def dominant_sentiment_by_rating(reviews: DataFrame) -> DataFrame:
     base = m.require_keys(reviews, "review_rating")
     counts = m.count_by(base, ["review_rating", "overall_sentiment"], "sentiment_count")
@@ -81,6 +98,7 @@ def dominant_sentiment_by_rating(reviews: DataFrame) -> DataFrame:
     return m.ordered(out, "review_rating")
 
 
+@by_brand
 def negative_or_mixed_products(reviews: DataFrame, min_reviews: int = 5,
                                top: int | None = None) -> DataFrame:
     out = m.class_share(reviews, PRODUCT, "overall_sentiment", (NEGATIVE, "mixed"),
@@ -89,6 +107,7 @@ def negative_or_mixed_products(reviews: DataFrame, min_reviews: int = 5,
                      *PRODUCT, top=top)
 
 
+@by_brand
 def review_kpis(reviews: DataFrame) -> DataFrame:
     """Reviews per brand, per rating and per year, from one pass over the table."""
     wide = reviews.select(
@@ -101,12 +120,14 @@ def review_kpis(reviews: DataFrame) -> DataFrame:
     return m.ordered(counts, "dimension", F.desc("review_count"), "value")
 
 
+@by_brand
 def reviews_by_year(reviews: DataFrame) -> DataFrame:
     years = reviews.select(F.year("review_date").cast("bigint").alias("review_year"))
     counts = m.count_by(m.require_keys(years, "review_year"), ["review_year"], "review_count")
     return m.ordered(counts, "review_year")
 
 
+@by_brand
 def rating_distribution(reviews: DataFrame) -> DataFrame:
     base = m.require_keys(reviews, "review_rating")
     return m.ordered(m.count_by(base, ["review_rating"], "review_count"), "review_rating")
@@ -115,12 +136,14 @@ def rating_distribution(reviews: DataFrame) -> DataFrame:
 # --- aspect level ---------------------------------------------------------------------
 
 
+@by_brand
 def product_aspect_mentions(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     keys = [*PRODUCT, "aspect", "aspect_sentiment"]
     counts = m.count_by(mentions(reviews, aspects), keys, "mention_count")
     return m.ordered(counts, "product_id", F.desc("mention_count"), *keys[1:])
 
 
+@by_brand
 def product_sentiment_weight(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     keys = [*PRODUCT, "aspect", "aspect_sentiment"]
     base = m.require_keys(mentions(reviews, aspects), "product_id")
@@ -130,6 +153,7 @@ def product_sentiment_weight(reviews: DataFrame, aspects: DataFrame) -> DataFram
     return m.ordered(out, "product_id", F.desc("sentiment_weight_pct"), *keys[1:])
 
 
+@by_brand
 def negative_rate(reviews: DataFrame, aspects: DataFrame, min_mentions: int = 3,
                   top: int | None = None) -> DataFrame:
     keys = [*PRODUCT, "aspect"]
@@ -151,6 +175,7 @@ def priority_pain_points(reviews: DataFrame, aspects: DataFrame, min_mentions: i
                      top=top)
 
 
+@by_brand
 def brand_pain_points(reviews: DataFrame, aspects: DataFrame,
                       min_mentions: int = 5) -> DataFrame:
     weight = "negative_weight_within_brand_pct"
@@ -160,6 +185,7 @@ def brand_pain_points(reviews: DataFrame, aspects: DataFrame,
     return m.ordered(out, "brand_name", F.desc(weight), F.desc("negative_rate_pct"), "aspect")
 
 
+@by_brand
 def discount_band_sentiment(reviews: DataFrame, aspects: DataFrame,
                             aspect: str = "price_value") -> DataFrame:
     discounts = computed_once(reviews.select("review_id", "mrp", "price"),
@@ -192,6 +218,7 @@ def complaint_drilldown(reviews: DataFrame, aspects: DataFrame,
                        "review_text")
 
 
+@by_brand
 def product_aspect_summary(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     keys = [*PRODUCT, "aspect"]
     out = m.pivot_counts(mentions(reviews, aspects), keys, "aspect_sentiment",
@@ -220,6 +247,7 @@ def aspect_sentiment_share(aspects: DataFrame) -> DataFrame:
     return m.ordered(out, F.desc("mention_count"), "aspect_sentiment")
 
 
+@by_brand
 def aspect_coverage(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     """How many reviews have at least one aspect, and how many have none.
 

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from opinarium import fixtures as fx
 from opinarium.functions.text import normalize_whitespace, strip_html
 from opinarium.operators import cleaning, extraction, integrity, profiling, resume, sampling
-from opinarium.plans import analysis
+from opinarium.plans import analysis, workflow
 from opinarium.schemas import DEFAULT_SAMPLE_SIZE
 from opinarium.session import working_folder
+from opinarium.sources.files import write_csv
+from opinarium.sources.tables import TableNames
 from opinarium.streaming.incremental import add_new_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +24,9 @@ AUDIT_SIZE = 30
 PROFILE_DIGITS = 4
 FILTERED_BRANDS = ("BUILDING", "MACHINERY")
 TOP_ROWS = 20
+TOP_VALUES = 10
+# A sample size above the rows of any table.
+EVERY_REVIEW = 10**12
 
 
 def _on_reviews(plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -100,6 +105,67 @@ def run_extractor(spark: SparkSession, sf: str) -> DataFrame:
                                   extra=["overall_sentiment", "extraction_method", "attempts"])
 
 
+# By review number modulo 10, an error and how many calls it meets.
+FAILURES = {0: ("429 too many requests", 2), 1: ("quota exceeded", 3),
+            2: ("401 unauthenticated", 1), 3: ("connection reset", 1)}
+
+
+def failing_extractor() -> extraction.Extractor:
+    """The fixture extractor, some calls of which fail."""
+    answer, calls = fixture_extractor(), {}
+
+    def extract(review_id: str, text: str) -> str:
+        error, times = FAILURES.get(int(review_id) % 10, ("", 0))
+        met = calls.pop(review_id, 0)
+        if met < times:
+            calls[review_id] = met + 1
+            raise RuntimeError(error)
+        return answer(review_id, text)
+
+    return extract
+
+
+def retry_policy(spark: SparkSession, sf: str) -> DataFrame:
+    policy = extraction.CallPolicy(pace=0.0, wait=0.0, on_error=extraction.REJECT)
+    answers = extraction.extract_reviews(fx.reviews(spark, sf), failing_extractor, "fixture",
+                                         policy, spark.sparkContext.defaultParallelism)
+    return answers.select("review_id", "attempts", "error",
+                          F.col("raw").isNotNull().alias("answered"))
+
+
+def response_extractor() -> extraction.Extractor:
+    """The fixture responses; one review in twenty is refused."""
+
+    def extract(review_id: str, text: str) -> str:
+        if int(review_id) % 20 == 6:
+            raise RuntimeError("401 unauthenticated")
+        return fx.RESPONSES.get(int(review_id) % 10, fx.FULL_RESPONSE)
+
+    return extract
+
+
+def whole_workflow(spark: SparkSession, sf: str) -> DataFrame:
+    """From two CSV folders, the second repeating ids of the first, to published tables and
+    rejects."""
+    folder = working_folder(spark, "workflow")
+    raw = fx.raw_reviews(spark, sf)
+    write_csv(raw, f"{folder}/raw/1")
+    write_csv(raw.filter(F.col("review_id").cast("bigint") % 10 == 0)
+              .withColumn("review_text", F.lit("A later text")), f"{folder}/raw/2")
+    run = folder.rpartition("-")[2]
+    config = workflow.WorkflowConfig(
+        f"{folder}/raw/*", folder, sample_size=EVERY_REVIEW,
+        names=TableNames(f"reviews_{run}", f"review_aspects_{run}", f"summary_{run}"))
+    policy = extraction.CallPolicy(pace=0.0, wait=0.0, on_error=extraction.REJECT)
+    out = workflow.run_workflow(spark, config, response_extractor, "fixture", policy)
+    counts = out["review_aspects"].groupBy("review_id").agg(F.count("*").alias("aspect_count"))
+    published = out["reviews"].join(counts, "review_id", "left").select(
+        "review_id", F.lit("published").alias("status"), "brand_name", "review_text",
+        "overall_sentiment", F.coalesce("aspect_count", F.lit(0)).alias("aspect_count"))
+    rejected = out["rejected"].select("review_id", F.lit("rejected").alias("status"), "error")
+    return published.unionByName(rejected, allowMissingColumns=True)
+
+
 def parse_extractions(spark: SparkSession, sf: str) -> DataFrame:
     valid = extraction.valid_answers(extraction.parse_answers(fx.responses(spark, sf)))
     return extraction.aspect_rows(valid, keep_empty=True, extra=["overall_sentiment"])
@@ -197,9 +263,14 @@ def top_pain_points(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     return analysis.priority_pain_points(reviews, aspects, top=TOP_ROWS)
 
 
+def brand_ratings(reviews: DataFrame) -> DataFrame:
+    return analysis.rating_alignment(reviews, brands=FILTERED_BRANDS)
+
+
 QUERIES: dict[str, Query] = {
     "f01_brand_filter": _on_both(brand_filter),
     "f02_top_pain_points": _on_both(top_pain_points),
+    "f03_brand_ratings": _on_reviews(brand_ratings),
     "q01_overall_sentiment": _on_reviews(analysis.overall_sentiment),
     "q02_product_sentiment_rank": _on_reviews(analysis.product_sentiment_rank),
     "q03_product_aspect_mentions": _on_both(analysis.product_aspect_mentions),
@@ -234,6 +305,8 @@ QUERIES: dict[str, Query] = {
     "x06_dedup_reviews": deduplicate,
     "x07_incremental_stream": incremental_stream,
     "x08_resume_counts": progress,
+    "x09_retry_policy": retry_policy,
+    "w01_workflow": whole_workflow,
     "v01_row_counts": _on_both(count_tables),
     "v02_primary_key": check_dup_key,
     "v03_orphan_aspects": orphan_aspects,
@@ -249,4 +322,6 @@ QUERIES: dict[str, Query] = {
     "p06_reviews_by_year": _on_reviews(analysis.reviews_by_year),
     "p07_rating_distribution": _on_reviews(analysis.rating_distribution),
     "p08_column_info": _on_raw(profiling.column_info),
+    "p09_top_values": _on_reviews(lambda r: profiling.value_counts(
+        r, ["product_title", "review_rating"], TOP_VALUES)),
 }

@@ -84,8 +84,27 @@ def test_value_counts_and_info(spark):
     assert [tuple(r) for r in p.null_counts(df).collect()] == [("s", 0), ("n", 1)]
 
 
-def test_bracket_keeps_most_values_out_of_the_ordered_part(spark):
-    """Only values inside a bracket reach the window: the sketch keeps it narrow."""
+def test_describe_is_exact_where_the_guess_misses(spark):
     df = spark.range(100_000).select(F.col("id").cast("double").alias("x"))
     row = p.describe(df, ["x"]).first()
     assert (row["p25"], row["p50"], row["p75"]) == (24999.75, 49999.5, 74999.25)
+    numbers = df.select(F.col("x").alias("c0"))
+    assert p._at_ranks(numbers, {(0, 7): (500.0, 600.0), (0, 99_999): (0.0, 1.0)},
+                       [(0.0, 99_999.0)]) == {(0, 7): 7.0, (0, 99_999): 99_999.0}
+
+
+def test_ranks_among_extreme_values(spark):
+    inf, tiny, huge = float("inf"), 5e-324, 1.7e308
+    values = [-inf, -inf, -huge, -tiny, 0.0, tiny, 2 * tiny, 1.0, huge, inf]
+    numbers = spark.createDataFrame([(v,) for v in values], "c0 double")
+    found = p._at_ranks(numbers, {(0, i): (-inf, inf) for i in range(10)}, [(-inf, inf)])
+    assert [found[0, i] for i in range(10)] == values
+
+
+def test_top_values_are_limited_in_every_task(spark, capsys):
+    df = spark.range(1000).select((F.col("id") % 300).alias("k"), F.lit("x").alias("c"))
+    top = p.value_counts(df, ["k", "c"], top=200)
+    assert top.count() == 201
+    top.explain()
+    shown = capsys.readouterr().out
+    assert "TakeOrderedAndProject" in shown and "Window" not in shown

@@ -279,10 +279,15 @@ def similar_links(docs: DataFrame, sets: DataFrame, words: int, similarity: int)
         """Components of all links so far: the known ones are stars already, so few steps are left."""
         return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
-    small = _placed(buckets, roots).filter(F.col("size") * F.col("strays") <= PAIRS_OF_BUCKET)
+    # Split once: a bucket that the first of the two ways has made smaller stays with the second.
+    placed = _placed(buckets, roots)
+    pairs_of_bucket = F.col("size") * F.col("strays")
+    small = placed.filter(pairs_of_bucket <= PAIRS_OF_BUCKET)
     if not small.isEmpty():
         roots = with_more(link(_stray_pairs(small)))
-    large = _placed(buckets, roots).filter(F.col("size") * F.col("strays") > PAIRS_OF_BUCKET)
+    large = placed.filter(pairs_of_bucket > PAIRS_OF_BUCKET).select("bucket", "leader", "node")
+    if not large.isEmpty():
+        large = _placed(large, roots)
     if not large.isEmpty():
         roots = with_more(_block_links(large, sets, docs, words, similarity))
     return roots

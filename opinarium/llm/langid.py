@@ -22,14 +22,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinarium.llm.arrays import mapped, Block, blocks, byte_class
 from opinarium.session import stored
 
-#: At most so many texts of each language are fitted, lowest hash first.
+#: At most so many distinct texts of each language are fitted, lowest hash first.
 SAMPLE_TEXTS = 1500
 SLOTS = 1 << 14
 EFFECTIVE = 60
@@ -85,16 +85,34 @@ def visible(html: pa.Array) -> pa.Array:
                     pa.large_string())
 
 
+def _first_of_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of every language and hash in a task, so copies are neither sorted nor shuffled."""
+    seen: set[tuple[str, int]] = set()
+    for batch in batches:
+        fresh = []
+        for key in zip(batch.column("lang").to_pylist(), batch.column("text_hash").to_pylist()):
+            fresh.append(key not in seen)
+            seen.add(key)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Profiles:
-    """Profiles from columns ``text`` and ``lang``; rows without either teach nothing."""
-    known = labelled.select("lang", "text").filter("lang is not null and length(text) > 0")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    """Profiles from columns ``text`` and ``lang``; rows without either teach nothing, and copies of
+    a text teach once."""
+    known = labelled.select("lang", "text").filter("lang is not null and length(text) > 0") \
+        .withColumn("text_hash", F.xxhash64("text", "lang"))
+    distinct = stored(known.select("lang", "text_hash").distinct(), "language-texts")
+    counts = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
     languages = sorted(counts)
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_texts / counts[k]))]) \
-        if languages else None
-    if share is None:
+    if not languages:
         return Profiles([], np.zeros((0, SLOTS), np.float32))
-    draw = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / float(1 << 30)
+    # Only hashes below a bound that about twice as many texts pass as are wanted are ordered.
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, (2 * sample_texts + 100) / counts[k])])
+    draw = F.pmod(F.xxhash64("text_hash"), F.lit(1 << 30)) / float(1 << 30)
+    lowest = Window.partitionBy("lang").orderBy(draw, "text_hash")
+    drawn = distinct.filter(draw < share[F.col("lang")]).withColumn("place", F.row_number().over(lowest)) \
+        .filter(F.col("place") <= sample_texts)
+    drawn = stored(drawn.select("lang", "text_hash"), "language-sample")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), SLOTS), np.int64)
@@ -108,7 +126,10 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Profiles:
         yield pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), pa.array(slot.astype(np.int32)),
                                           pa.array(sums[which, slot])], ["language", "slot", "n"])
 
-    found = mapped(known.filter(draw < share[F.col("lang")]), run, "language int, slot int, n long")
+    texts = mapped(known.join(drawn, ["lang", "text_hash"], "left_semi").select("lang", "text_hash", "text"),
+                   _first_of_task, "lang string, text_hash long, text string")
+    one_each = texts.groupBy("lang", "text_hash").agg(F.first("text").alias("text")).select("lang", "text")
+    found = mapped(one_each, run, "language int, slot int, n long")
     table = np.zeros((len(languages), SLOTS))
     # One row per language and slot at most.
     for row in found.groupBy("language", "slot").agg(F.sum("n").alias("n")).collect():

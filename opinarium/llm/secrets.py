@@ -2,8 +2,10 @@
 
 A candidate is a long string with digits shortly after a word that names something secret. Its
 novelty is what it adds to the compressed size of nothing, with zstandard primed by a dictionary
-of common identifiers and by the text around the candidate, over its own length. Identifiers,
-paths and repeated values are found in the dictionary and add little; keys add about their length.
+of common identifiers and by the text around the candidate, over its own length. Identifiers and
+paths are found in the dictionary and add little; keys add about their length. Copies of the
+candidate are taken out of the text around it, so a repeated key is found at each of its places. A
+reported candidate goes on over the lines of a key block that directly follow.
 
 Null and empty texts have no spans. Whole texts are searched. Positions are code points. Rows keep
 their order, may repeat, and keep every column in ``redacted``. An empty table gives no rows.
@@ -35,7 +37,13 @@ _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_k
 _CONTEXT_WORDS = (b"password", b"passwd", b"passphrase", b"secret", b"token", b"apikey", b"api_key", b"api-key",
                   b"credential", b"private_key", b"private key", b"access_key", b"access key", b"bearer ",
                   b"authorization", b"auth_key", b"client_id", b"signature=")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LEAST = 16
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}")
+# Lines of a key block; in strings of programs and JSON, line breaks are written out.
+_BREAK = r"(?:\r?\n|(?:\\r)?\\n)"
+_NEXT_LINE = re.compile(rf"[ \t]*{_BREAK}[ \t]*([A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}})(?=[ \t\"',;]*(?:[\r\n\\]|\Z))")
+_LAST_LINE = re.compile(rf"[ \t]*{_BREAK}[ \t]*([A-Za-z0-9+/_-]{{1,{LEAST - 1}}}"
+                        rf"(?:={{1,2}}(?=[ \t\"',;]*(?:[\r\n\\]|\Z))|(?=[ \t]*{_BREAK}[ \t]*-----END)))")
 #: A candidate begins at most so many characters behind a context word.
 CONTEXT_REACH = 48
 #: So many characters before and behind a candidate prime the compressor.
@@ -86,17 +94,48 @@ def novel_spans(text: str) -> list[tuple[int, int, int]]:
     ends = np.array([m.end() for m in context.finditer(text)])
     if not len(ends):
         return found
+    done = 0
     for match in _CANDIDATE.finditer(text):
         start, end = match.span()
         at = np.searchsorted(ends, start, side="right") - 1
-        if at < 0 or start - ends[at] > CONTEXT_REACH or not any(c.isdigit() for c in match[0]):
+        if start < done or at < 0 or start - ends[at] > CONTEXT_REACH or not any(c.isdigit() for c in match[0]):
             continue
-        around = text[max(0, start - SURROUNDING):start] + "\n" + text[end:end + SURROUNDING]
-        if _added(match[0].encode(), around.encode()) >= NOVELTY * len(match[0]):
-            found.append((start, end, 3))
+        if _novel(text, start, end):
+            done = _end_of_block(text, end)
+            found.append((start, done, 3))
     return found
 
 
+def _novel(text: str, start: int, end: int) -> bool:
+    candidate = text[start:end]
+    return _added(candidate.encode(), _around(text, start, end).encode()) >= NOVELTY * len(candidate)
+
+
+def _around(text: str, start: int, end: int) -> str:
+    """The text before and behind a candidate, without what repeats ``LEAST`` characters of it."""
+    runs = {text[i:i + LEAST] for i in range(start, end - LEAST + 1)}
+    parts = []
+    for low, high in ((max(0, start - SURROUNDING), start), (end, min(len(text), end + SURROUNDING))):
+        # A copy may begin before the surrounding text or end behind it.
+        first, last = (max(0, low - LEAST + 1), high) if high == start else (low, min(len(text), high + LEAST - 1))
+        at = low
+        for i in range(first, last - LEAST + 1):
+            if text[i:i + LEAST] in runs:
+                parts += [text[at:max(at, min(i, high))], "\n"]
+                at = max(at, i + LEAST)
+        parts += [text[at:max(at, high)], "\n"]
+    return "".join(parts)
+
+
+def _end_of_block(text: str, end: int) -> int:
+    """Where the key block ends whose line ends at ``end``: directly following lines belong to it
+    that are candidates and add much, and a short last one."""
+    while (line := _NEXT_LINE.match(text, end)) and _novel(text, *line.span(1)):
+        end = line.end(1)
+    last = _LAST_LINE.match(text, end)
+    return last.end(1) if last else end
+
+
 def _suspects(block: Block) -> np.ndarray:
     """Rows that may hold a span: those with a word of the patterns or contexts, or a long hex run."""
     lowered = block.lowered()

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinarium.llm import (bpe, exact_dedup, langid, licenses, near_dedup, neighbours, packing, secrets,
-                           sharding, toxicity)
+from opinarium.llm import (bpe, exact_dedup, langid, licenses, merkle, near_dedup, neighbours, oracles, packing,
+                           secrets, sharding, toxicity)
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = 16
@@ -68,6 +68,10 @@ def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def verify_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(table(spark, sf_dir, "documents"))
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,19 +88,11 @@ QUERIES = {
     "op8_exact_dedup": group_copies,
     "op9_near_dedup": group_near_copies,
     "op10_secrets": scan_secrets,
+    "op13_merkle": verify_manifest,
     "pipeline": run_pipeline,
 }
 
 ORACLES = {
-    "op8_exact_dedup": """
-        WITH normal AS (
-            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                     'abcdefghijklmnopqrstuvwxyz') AS t
-            FROM documents
-        )
-        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
-               count(*) OVER (PARTITION BY t) AS group_size,
-               doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
-        FROM normal
-    """,
+    "op8_exact_dedup": oracles.EXACT_DEDUP,
+    "op13_merkle": oracles.MERKLE,
 }

@@ -82,3 +82,33 @@ MERKLE = f"""
       CASE WHEN changed IS NULL THEN 0 ELSE CAST(len(path) + 1 AS BIGINT) END AS copied_nodes
     FROM folded
 """
+
+COLLOCATIONS = rf"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_lower("text")}, '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    words AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    places AS (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS phrase
+        FROM words, range(1, 6) t(k)),
+    counted AS (SELECT lang, k, phrase, count(*) AS f FROM places GROUP BY ALL),
+    candidates AS (SELECT * FROM counted WHERE k > 1 AND f >= 100),
+    covered AS (
+        SELECT DISTINCT s.lang, s.phrase FROM candidates s JOIN (
+          SELECT lang, f, unnest([phrase[1:k - 1], phrase[2:k]]) AS part FROM candidates WHERE k > 2) longer
+        ON s.lang = longer.lang AND s.phrase = longer.part AND longer.f >= s.f),
+    cuts AS (
+        SELECT c.lang, c.phrase, c.f AS a, cut, x.f AS l, y.f AS r, t.n,
+          CAST(1000 * CAST(c.f AS HUGEINT) * t.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates ANTI JOIN covered USING (lang, phrase)) c
+        JOIN counted x ON x.lang = c.lang AND x.phrase = c.phrase[1:cut]
+        JOIN counted y ON y.lang = c.lang AND y.phrase = c.phrase[cut + 1:c.k]
+        JOIN totals t ON t.lang = c.lang),
+    best AS (
+        SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, n, score FROM cuts
+        QUALIFY row_number() OVER (PARTITION BY lang, cuts.phrase ORDER BY score, cut) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM best QUALIFY rank <= 2000
+"""

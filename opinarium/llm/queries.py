@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinarium.llm import (bpe, exact_dedup, langid, licenses, merkle, near_dedup, neighbours, oracles, packing,
+from opinarium.llm import (bpe, collocations, exact_dedup, langid, licenses, merkle, near_dedup, neighbours, oracles, packing,
                            secrets, sharding, toxicity)
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -68,6 +68,10 @@ def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def verify_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -88,11 +92,13 @@ QUERIES = {
     "op8_exact_dedup": group_copies,
     "op9_near_dedup": group_near_copies,
     "op10_secrets": scan_secrets,
+    "op11_collocations": mine_collocations,
     "op13_merkle": verify_manifest,
     "pipeline": run_pipeline,
 }
 
 ORACLES = {
     "op8_exact_dedup": oracles.EXACT_DEDUP,
+    "op11_collocations": oracles.COLLOCATIONS,
     "op13_merkle": oracles.MERKLE,
 }

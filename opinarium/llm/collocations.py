@@ -29,11 +29,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opinarium.llm.arrays import END, Block, blocks, byte_class, mapped, mixed, span_hashes, spans
 from opinarium.llm.bloom import filters
+from opinarium.operators.numbering import dense_numbers
 from opinarium.session import removed, stored, stored_at, working_folder
 
 THRESHOLD = 100
@@ -292,8 +292,14 @@ def _active(summed: DataFrame, known: DataFrame | None, n_known: int, scan: int,
 def spelled(phrases: DataFrame, coded: DataFrame, longest: int) -> DataFrame:
     """Adds ``lang``, ``text`` and ``last``, the last word, to stored phrases."""
     words = phrases.filter("length = 1")
+    wanted = filters(words, "id", words.count(), {"words": F.lit(True)})["words"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted.value.holds(batch.column("id").to_numpy().view(np.uint64))))
+
     spelling = coded.filter(F.col("part") == _SPELLING).select(F.col("code").alias("id"), "lang", "word")
-    spelling = spelling.join(words.select("id"), "id", "left_semi").groupBy("id").agg(
+    spelling = mapped(spelling, run, "id long, lang string, word string").groupBy("id").agg(
         F.first("lang").alias("lang"), F.first("word").alias("text"))
     named = [stored(words.join(spelling, "id").withColumn("last", F.col("text")), "spelled")]
     for length in range(2, longest + 1):
@@ -341,6 +347,7 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, first: int = FIRST
     phrases = stored(frequent_phrases(coded, threshold, longest, shards), "phrases")
     named = stored(spelled(phrases, coded, longest), "named-phrases")
     totals = coded.filter(F.col("part") != _SPELLING).groupBy("lang").agg(F.sum("words").alias("n"))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(named, stored(totals, "words-of-languages")).withColumn("rank", F.row_number().over(order).cast("long"))
+    found = scored(named, stored(totals, "words-of-languages"))
+    ordered = stored(found.withColumns({"_score": -F.col("score"), "_a": -F.col("a")}), "scored-phrases")
+    ranked = dense_numbers(ordered, ["_score", "_a", "phrase"], "rank", ["lang"], first=1)
     return ranked.filter(F.col("rank") <= first).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.llm import (bpe, collocations, exact_dedup, langid, licenses, merkle, near_dedup, neighbours, oracles, packing,
-                           secrets, sharding, toxicity)
+                           pii, secrets, sharding, toxicity)
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = 16
@@ -72,6 +72,10 @@ def mine_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def verify_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_near_dedup": group_near_copies,
     "op10_secrets": scan_secrets,
     "op11_collocations": mine_collocations,
+    "op12_pii": find_personal_data,
     "op13_merkle": verify_manifest,
     "pipeline": run_pipeline,
 }

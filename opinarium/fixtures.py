@@ -120,6 +120,12 @@ def raw_reviews_of(documents: DataFrame) -> DataFrame:
     )
 
 
+def quoted_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw reviews with quotes, line breaks of both kinds and separators inside of the text."""
+    broken = F.concat(F.lit('He said "'), F.col("review_id"), F.lit('",\n"so\r\n\n'), F.col("review_text"))
+    return raw_reviews(spark, sf_dir).withColumn("review_text", broken)
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("doc_id") % 10
     raw = F.lit(FULL_RESPONSE)

@@ -74,6 +74,13 @@ _VIEWS = {
             ELSE concat('2021-0', CAST(doc_id % 9 AS VARCHAR), '-15') END AS review_date,
           CASE WHEN doc_id % 5 = 0 THEN 'n/a' ELSE CAST(n_chars AS VARCHAR) END AS price
         FROM documents""",
+    "quoted_cleaned": f"""
+        SELECT review_id, product_id, {_strip("brand_name")} AS brand_name,
+          {_strip("regexp_replace(concat('He said \"', review_id, '\",', chr(10), '\"so', chr(13), chr(10), chr(10), review_text), '<[^<]+?>', '', 'g')")}
+            AS review_text,
+          try_cast(review_rating AS DOUBLE) AS review_rating,
+          try_cast(review_date AS TIMESTAMP) AS review_date, try_cast(price AS DOUBLE) AS price
+        FROM raw_reviews WHERE review_text IS NOT NULL""",
     "responses": f"""
         SELECT CAST(doc_id AS VARCHAR) AS review_id,
           {_choose("doc_id % 10", RESPONSES, FULL_RESPONSE)} AS raw
@@ -163,6 +170,7 @@ _PARENTS = {
     "mentions": ["reviews", "review_aspects"],
     "banded": ["mentions"],
     "cleaned": ["raw_reviews"],
+    "quoted_cleaned": ["raw_reviews"],
     "sampled": ["reviews"],
     "judged": ["responses"],
     "answered_aspects": ["judged"],
@@ -348,6 +356,13 @@ ORACLES: dict[str, str] = {
                 count(*) FILTER (WHERE aspect_sentiment = 'neutral') AS neutral_mentions,
                 {_NEG} AS negative_mentions
               FROM mentions GROUP BY ALL)"""),
+    "q13_summary_delta": _with("mentions checkpoint_reviews", f"""
+        SELECT *, {_pct("negative_mentions", "total_mentions")} AS negative_rate_pct
+        FROM (SELECT {_PRODUCT}, aspect, count(*) AS total_mentions,
+                count(*) FILTER (WHERE aspect_sentiment = 'positive') AS positive_mentions,
+                count(*) FILTER (WHERE aspect_sentiment = 'neutral') AS neutral_mentions,
+                {_NEG} AS negative_mentions
+              FROM mentions WHERE review_id NOT IN ({_DONE}) GROUP BY ALL)"""),
     "m01_aspect_frequency": _with("review_aspects", """
         SELECT aspect, count(*) AS mention_count FROM review_aspects GROUP BY aspect"""),
     "m02_aspect_negative_rate": _with("review_aspects", f"""
@@ -374,6 +389,7 @@ ORACLES: dict[str, str] = {
                 CAST(sum(count(*)) OVER () AS BIGINT) AS total_mentions
               FROM review_aspects GROUP BY aspect_sentiment)"""),
     "c01_clean_reviews": _with("cleaned", f"SELECT * FROM cleaned WHERE {_KEPT}"),
+    "c06_multiline_csv": _with("quoted_cleaned", f"SELECT * FROM quoted_cleaned WHERE {_KEPT}"),
     "c02_cleaning_report": _with("cleaned", _REPORT),
     "c03_strip_html": f"""
         SELECT page_id, coalesce({_strip("regexp_replace(html, '<[^<]+?>', '', 'g')")}, '')
@@ -449,6 +465,13 @@ ORACLES: dict[str, str] = {
           CASE WHEN error IS NULL THEN CAST(coalesce(json_array_length(raw, '$.aspects'), 0) AS BIGINT) END
             AS aspect_count, error
         FROM first_rows JOIN called USING (review_id)"""),
+    "w02_snapshot": _with("reviews review_aspects checkpoint_reviews", f"""
+        SELECT step, CAST(version AS BIGINT) AS version, table_name, true AS as_published,
+          CASE WHEN step = 'deleted' THEN n - done ELSE n END AS row_count
+        FROM (VALUES ('loaded', 3), ('failed', 3), ('deleted', 4)) s(step, version),
+          (SELECT 'reviews' AS table_name, count(*) AS n, count(*) FILTER (WHERE review_id IN ({_DONE})) AS done FROM reviews
+           UNION ALL
+           SELECT 'review_aspects', count(*), count(*) FILTER (WHERE review_id IN ({_DONE})) FROM review_aspects)"""),
     "v01_row_counts": _with("reviews review_aspects", """
         SELECT 'reviews' AS table_name, (SELECT count(*) FROM reviews) AS row_count
         UNION ALL SELECT 'review_aspects', (SELECT count(*) FROM review_aspects)"""),

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium import fixtures as fx
 from opinarium.functions.text import normalize_whitespace, strip_html
-from opinarium.operators import cleaning, extraction, integrity, profiling, resume, sampling
+from opinarium.operators import cleaning, extraction, integrity, profiling, resume, sampling, summary
 from opinarium.plans import analysis, workflow
 from opinarium.schemas import DEFAULT_SAMPLE_SIZE
 from opinarium.session import working_folder
-from opinarium.sources.files import write_csv
-from opinarium.sources.tables import TableNames
+from opinarium.sources.files import missing_to_null, write_csv
+from opinarium.sources import review_store
+from opinarium.sources.records import read_split_csv
+from opinarium.sources.snapshots import snapshot
+from opinarium.sources.tables import IntegrityError, TableNames
 from opinarium.streaming.incremental import add_new_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,6 +170,49 @@ def whole_workflow(spark: SparkSession, sf: str) -> DataFrame:
     return published.unionByName(rejected, allowMissingColumns=True)
 
 
+def multiline_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw reviews whose texts hold line breaks and quotes, through CSV files that are split."""
+    folder = working_folder(spark, "multiline")
+    write_csv(fx.quoted_reviews(spark, sf), folder)
+    return cleaning.clean_reviews(missing_to_null(read_split_csv(spark, folder)))
+
+
+def _loaded_store(spark: SparkSession, sf: str) -> str:
+    """Three loads, the later ones repeating a review of the earlier ones in five."""
+    root = working_folder(spark, "store")
+    reviews, aspects = fx.reviews(spark, sf), fx.review_aspects(spark, sf)
+    number = F.col("review_id").cast("bigint")
+    for batch in range(3):
+        part = (number % 3 == batch) | (number % 3 < batch) & (number % 5 == 0)
+        review_store.load(spark, root, reviews.filter(part), aspects.filter(part))
+    return root
+
+
+def snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Version and rows of both tables after three loads, a load that fails, and a cascading delete."""
+    root = _loaded_store(spark, sf)
+    steps = [("loaded", snapshot(spark, root))]
+    reviews, aspects = fx.reviews(spark, sf), fx.aspects_with_orphans(spark, sf)
+    try:
+        review_store.load(spark, root, reviews, aspects)
+    except IntegrityError:
+        steps.append(("failed", snapshot(spark, root)))
+    review_store.delete(spark, root, fx.checkpoint_reviews(spark, sf))
+    steps.append(("deleted", snapshot(spark, root)))
+    counts = [found.table(spark, name).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(step).alias("step"), F.lit(found.version).cast("bigint").alias("version"), F.lit(name).alias("table_name"), "row_count",
+        (F.col("row_count") == found.rows(name)).alias("as_published"))
+        for step, found in steps for name in ("reviews", "review_aspects")]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def summary_from_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary kept up to date over three loads and a delete, without a count of the whole."""
+    root = _loaded_store(spark, sf)
+    deleted = review_store.delete(spark, root, fx.checkpoint_reviews(spark, sf))
+    return summary.summary_of(deleted.table(spark, review_store.COUNTS_TABLE))
+
+
 def parse_extractions(spark: SparkSession, sf: str) -> DataFrame:
     valid = extraction.valid_answers(extraction.parse_answers(fx.responses(spark, sf)))
     return extraction.aspect_rows(valid, keep_empty=True, extra=["overall_sentiment"])
@@ -293,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "c02_cleaning_report": _on_raw(cleaning.cleaning_report),
     "c03_strip_html": strip_page_html,
     "c04_normalize_whitespace": normalize_document_text,
+    "c06_multiline_csv": multiline_csv,
     "c05_price_anomalies": _on_reviews(cleaning.price_anomalies),
     "s01_stratified_sample": draw_stratified_sample,
     "s02_sample_balance": sample_balance,
@@ -306,7 +354,9 @@ QUERIES: dict[str, Query] = {
     "x07_incremental_stream": incremental_stream,
     "x08_resume_counts": progress,
     "x09_retry_policy": retry_policy,
+    "q13_summary_delta": summary_from_changes,
     "w01_workflow": whole_workflow,
+    "w02_snapshot": snapshots,
     "v01_row_counts": _on_both(count_tables),
     "v02_primary_key": check_dup_key,
     "v03_orphan_aspects": orphan_aspects,

@@ -445,6 +445,9 @@ ORACLES: dict[str, str] = {
     "x07_incremental_stream": _with("cleaned", f"""
         SELECT review_id, product_id, brand_name, review_text, review_rating
         FROM cleaned WHERE {_KEPT} AND CAST(review_id AS BIGINT) % 3 <> 0"""),
+    "x10_indexed_stream": _with("cleaned", f"""
+        SELECT review_id, product_id, brand_name, review_text, review_rating
+        FROM cleaned WHERE {_KEPT}"""),
     "x08_resume_counts": _with("reviews checkpoint_reviews", f"""
         SELECT count(*) AS requested,
           count(*) FILTER (WHERE review_id IN ({_DONE})) AS already_done,

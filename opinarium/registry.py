@@ -20,6 +20,7 @@ from opinarium.sources import review_store
 from opinarium.sources.records import read_split_csv
 from opinarium.sources.snapshots import snapshot
 from opinarium.sources.tables import IntegrityError, TableNames
+from opinarium.streaming.id_index import IdIndex
 from opinarium.streaming.incremental import add_new_reviews
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,7 @@ PROFILE_DIGITS = 4
 FILTERED_BRANDS = ("BUILDING", "MACHINERY")
 TOP_ROWS = 20
 TOP_VALUES = 10
+INDEX_BUCKETS = 4
 # A sample size above the rows of any table.
 EVERY_REVIEW = 10**12
 
@@ -252,6 +254,21 @@ def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("review_id", "product_id", "brand_name", "review_text", "review_rating")
 
 
+def indexed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw reviews in three arrivals, the later ones repeating some of the earlier, and all of them
+    once more in a run that lost its progress; ids are looked up in an index."""
+    folder, raw = working_folder(spark, "indexed"), fx.raw_reviews(spark, sf)
+    number = F.col("review_id").cast("bigint")
+    for arrival in range(3):
+        part = (number % 3 == arrival) | (number % 3 < arrival) & (number % 5 == 0)
+        raw.filter(part).write.mode("append").parquet(f"{folder}/arrived")
+    index = IdIndex(f"{folder}/index", INDEX_BUCKETS)
+    for run, files in (("first", 1), ("again", 1000)):
+        stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/arrived")
+        out = add_new_reviews(stream, f"{folder}/reviews", f"{folder}/{run}", cleaning.clean_reviews, index=index)
+    return out.select("review_id", "product_id", "brand_name", "review_text", "review_rating")
+
+
 # --- integrity and profile ------------------------------------------------------------
 
 
@@ -352,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "x05_resume_aspects": resumed_aspects,
     "x06_dedup_reviews": deduplicate,
     "x07_incremental_stream": incremental_stream,
+    "x10_indexed_stream": indexed_stream,
     "x08_resume_counts": progress,
     "x09_retry_policy": retry_policy,
     "q13_summary_delta": summary_from_changes,

@@ -38,6 +38,17 @@ def mapped(rows: DataFrame, function: Callable, schema) -> DataFrame:
     return rows.mapInArrow(function, schema)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores in front until no column has it, whatever its case."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     """A table that tells for each byte whether it lies in one of the closed ranges."""
     table = np.zeros(256, dtype=bool)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinarium.functions.once import computed_once
+from opinarium.llm.arrays import unused
 from opinarium.session import stored
 
 #: Bits for each row of the table.
@@ -54,16 +55,17 @@ def repeated_bits(digests: DataFrame, size: int, digest: str = "text_sha256") ->
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
 
 
-def possibly_repeated(rows: DataFrame, words: DataFrame, size: int, digest: str = "text_sha256") -> DataFrame:
+def possibly_repeated(rows: DataFrame, words: DataFrame, size: int, digest: str = "text_sha256",
+                      possible: str = "possible") -> DataFrame:
     """Second pass: adds ``possible``, true if both bits of a row were set more than once."""
-    hits = []
-    for i, bit in enumerate(_bits(digest, size)):
-        own = words.select(F.col("word").alias(f"_word{i}"), F.col("mask").alias(f"_mask{i}"))
-        rows = rows.withColumn(f"_bit{i}", bit).withColumn(f"_word{i}", F.shiftright(f"_bit{i}", 6))
-        rows = rows.join(own, f"_word{i}", "left")
-        hits.append(F.expr(f"coalesce(shiftright(_mask{i}, cast(_bit{i} & 63 as int)) & 1L, 0L) = 1"))
-    marks = [f"{name}{i}" for i in (0, 1) for name in ("_word", "_mask", "_bit")]
-    return rows.withColumn("possible", hits[0] & hits[1]).drop(*marks)
+    hits, marks = [], []
+    for i, place in enumerate(_bits(digest, size)):
+        word, mask, bit = unused([*rows.columns, possible], f"_word{i}", f"_mask{i}", f"_bit{i}")
+        own = words.select(F.col("word").alias(word), F.col("mask").alias(mask))
+        rows = rows.withColumn(bit, place).withColumn(word, F.shiftright(bit, 6)).join(own, word, "left")
+        hits.append(F.expr(f"coalesce(shiftright(`{mask}`, cast(`{bit}` & 63 as int)) & 1L, 0L) = 1"))
+        marks += [word, mask, bit]
+    return rows.withColumn(possible, hits[0] & hits[1]).drop(*marks)
 
 
 def _size(rows: int) -> int:
@@ -105,12 +107,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     digest are reduced before and after the shuffle to the one with the largest id, and among
     rows with that id to the largest by the other columns.
     """
-    rows = digested(docs, digest="_digest")
-    digests = stored(rows.select("_digest"), "digests")
+    digest, possible, best = unused(docs.columns, "_digest", "_possible", "_row")
+    rows = digested(docs, digest=digest)
+    digests = stored(rows.select(digest), "digests")
     size = _size(digests.count())
-    words = stored(repeated_bits(digests, size, "_digest"), "repeated-bits")
-    flagged = possibly_repeated(rows, words, size, "_digest")
+    words = stored(repeated_bits(digests, size, digest), "repeated-bits")
+    flagged = possibly_repeated(rows, words, size, digest, possible)
     order = ["doc_id", *(c for c in docs.columns if c != "doc_id")]
-    apart = flagged.filter(~F.col("possible")).select(*docs.columns)
-    best = flagged.filter("possible").groupBy("_digest").agg(F.max(F.struct(*order)).alias("_row"))
-    return apart.unionByName(best.select("_row.*").select(*docs.columns))
+    apart = flagged.filter(~F.col(possible)).select(*docs.columns)
+    kept = flagged.filter(possible).groupBy(digest).agg(F.max(F.struct(*order)).alias(best))
+    return apart.unionByName(kept.select(f"{best}.*").select(*docs.columns))

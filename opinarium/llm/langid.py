@@ -259,7 +259,6 @@ def readable_documents(docs: DataFrame, profiles: Profiles) -> DataFrame:
     found = document_languages(docs, profiles).filter(~F.col("kept"))
     gone = stored(found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(),
                   "language-rejected")
-    hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return hashed.join(gone, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")),
-                       "left_anti").select(*docs.columns)
+    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(gone, (text_hash == gone["_hash"]) & docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")

@@ -321,6 +321,5 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: int = SIMI
     gone = stored(gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "near-gone")
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return _with_text_hash(docs).join(
-        gone, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti"
-    ).select(*docs.columns)
+    text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(gone, (text_hash == gone["_hash"]) & docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")

@@ -97,6 +97,22 @@ def review_aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def placed_aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aspect mentions with the number of their review and their place in it."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("review_number"), _text("l_orderkey").alias("review_id"),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("pos"))
+
+
+def whole_reviews_with_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews, some of them twice in all columns, without product, brand or rating in some rows."""
+    key = F.col("review_id").cast("bigint")
+    first = reviews(spark, sf_dir).withColumns({
+        "product_id": F.when(key % 37 != 0, F.col("product_id")), "brand_name": F.when(key % 41 != 0, F.col("brand_name")),
+        "review_rating": F.when(key % 43 != 0, F.col("review_rating"))})
+    return first.unionByName(first.filter(key % 10 == 0)).unionByName(first.filter(key % 37 == 0))
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_reviews_of(table(spark, sf_dir, "documents"))
 

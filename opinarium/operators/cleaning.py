@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from opinarium.functions.once import computed_once
@@ -57,6 +57,9 @@ def drop_reason(df: DataFrame) -> Column:
     return reason
 
 
+_REPORT_LABELS = ("metric", "column_name")
+
+
 def clean_reviews(df: DataFrame, date_formats: Sequence[str] = (),
                   missing_flag: bool | None = None) -> DataFrame:
     """Standardised rows that have a text and, where there is a rating, a valid one."""
@@ -72,6 +75,29 @@ def cleaning_report(df: DataFrame, date_formats: Sequence[str] = (),
     """
     out = standardise(df, date_formats, missing_flag)
     out = out.withColumn("_reason", drop_reason(out))
+    return long_report(out, _REPORT_LABELS, _report_measures(df.columns))
+
+
+def write_cleaned(df: DataFrame, path: str, date_formats: Sequence[str] = (),
+                  missing_flag: bool | None = None, unreported: Sequence[str] = ()) -> DataFrame:
+    """Writes the cleaned rows and returns the cleaning report, from one scan of the raw rows.
+
+    The report is observed while the rows are written. Columns in ``unreported`` are written too,
+    but their nulls are not counted.
+    """
+    out = standardise(df, date_formats, missing_flag)
+    measures = _report_measures([c for c in df.columns if c not in unreported])
+    seen = Observation()
+    flagged = out.withColumn("_reason", drop_reason(out)).observe(
+        seen, *[agg.alias(f"m{i}") for i, (*_, agg) in enumerate(measures)])
+    flagged.filter("_reason is null").drop("_reason").write.mode("overwrite").parquet(path)
+    found = seen.get
+    lines = [(*labels, found.get(f"m{i}", 0)) for i, (*labels, _) in enumerate(measures)]
+    return df.sparkSession.createDataFrame(lines, "metric string, column_name string, value bigint")
+
+
+def _report_measures(columns: Sequence[str]) -> list[tuple]:
+    """Labels and aggregates of the report, over standardised rows with ``_reason``."""
     kept, reason = F.col("_reason").isNull(), F.col("_reason")
     removed = F.count_if(~kept)
     metrics = [
@@ -84,8 +110,8 @@ def cleaning_report(df: DataFrame, date_formats: Sequence[str] = (),
         ("removed_invalid_rating", None, F.count_if(reason == "invalid_rating")),
     ]
     metrics += [("missing_values_after", c, F.count_if(kept & F.col(c).isNull()))
-                for c in df.columns]
-    return long_report(out, ("metric", "column_name"), metrics)
+                for c in columns]
+    return metrics
 
 
 def long_report(df: DataFrame, names: Sequence[str],

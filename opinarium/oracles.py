@@ -363,6 +363,13 @@ ORACLES: dict[str, str] = {
                 count(*) FILTER (WHERE aspect_sentiment = 'neutral') AS neutral_mentions,
                 {_NEG} AS negative_mentions
               FROM mentions WHERE review_id NOT IN ({_DONE}) GROUP BY ALL)"""),
+    "f04_brand_aspects": _with("mentions", f"""
+        SELECT 'aspect' AS report, aspect AS value, count(*) AS mention_count, {_pct(_NEG, "count(*)")} AS pct
+        FROM mentions WHERE brand_name IN ('BUILDING', 'MACHINERY') GROUP BY aspect
+        UNION ALL
+        SELECT 'sentiment', aspect_sentiment, n, {_pct("n", "CAST(sum(n) OVER () AS BIGINT)")}
+        FROM (SELECT aspect_sentiment, count(*) AS n FROM mentions
+              WHERE brand_name IN ('BUILDING', 'MACHINERY') GROUP BY aspect_sentiment)"""),
     "m01_aspect_frequency": _with("review_aspects", """
         SELECT aspect, count(*) AS mention_count FROM review_aspects GROUP BY aspect"""),
     "m02_aspect_negative_rate": _with("review_aspects", f"""
@@ -397,6 +404,7 @@ ORACLES: dict[str, str] = {
     "c04_normalize_whitespace": f"""
         SELECT doc_id, coalesce(trim(regexp_replace(text, '{_WS}+', ' ', 'g')), '')
           AS clean_text FROM documents""",
+    "c07_observed_report": _with("cleaned", _REPORT),
     "c05_price_anomalies": _with("reviews", """
         SELECT count(*) AS total_rows, count(*) FILTER (WHERE mrp IS NULL) AS mrp_missing,
           count(*) FILTER (WHERE mrp <= 0) AS mrp_not_positive,
@@ -497,6 +505,21 @@ ORACLES: dict[str, str] = {
         FROM reviews WHERE review_id NOT IN ({_DONE})
         UNION ALL SELECT 'review_aspects', review_id, aspect, aspect_sentiment
         FROM review_aspects WHERE review_id NOT IN ({_DONE})"""),
+    "v07_dense_ids": """
+        SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS aspect_id,
+          CAST(l_orderkey AS VARCHAR) AS review_id, CAST(l_linenumber - 1 AS BIGINT) AS pos
+        FROM lineitem""",
+    "p10_whole_duplicates": _with("reviews", """
+        SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
+        FROM (SELECT * EXCLUDE (rows_of), sum(rows_of) AS n
+              FROM (SELECT * REPLACE (
+                      CASE WHEN CAST(review_id AS BIGINT) % 37 <> 0 THEN product_id END AS product_id,
+                      CASE WHEN CAST(review_id AS BIGINT) % 41 <> 0 THEN brand_name END AS brand_name,
+                      CASE WHEN CAST(review_id AS BIGINT) % 43 <> 0 THEN review_rating END AS review_rating),
+                      1 + CAST(CAST(review_id AS BIGINT) % 10 = 0 AS INTEGER)
+                        + CAST(CAST(review_id AS BIGINT) % 37 = 0 AS INTEGER) AS rows_of
+                    FROM reviews)
+              GROUP BY ALL)"""),
     "p01_null_counts": _with("raw_reviews", "\nUNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count FROM raw_reviews"
         for c in _RAW_COLUMNS)),

@@ -46,6 +46,14 @@ def by_brand(report: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return filtered
 
 
+def aspects_of(reviews: DataFrame, aspects: DataFrame, brands: Sequence[str] | None) -> DataFrame:
+    """The aspects of reviews of the given brands, for reports over aspects alone; all if none is
+    given. Only ids are joined."""
+    if not brands:
+        return aspects
+    return aspects.join(for_brands(reviews, brands).select("review_id").distinct(), "review_id", "left_semi")
+
+
 def mentions(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     """Aspect mentions with the columns of their review. Reviews without aspects drop out.
 

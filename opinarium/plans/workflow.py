@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from opinarium.functions.text import id_key, is_blank
 from opinarium.operators import extraction as ex
-from opinarium.operators.cleaning import clean_reviews, cleaning_report
+from opinarium.operators.cleaning import write_cleaned
 from opinarium.operators.resume import first_per_key, pending_reviews, resume_counts
 from opinarium.operators.sampling import exact_sample
 from opinarium.plans.analysis import product_aspect_summary
@@ -23,7 +23,7 @@ from opinarium.schemas import (
     RAW_EXTRACTIONS,
 )
 from opinarium.session import stored
-from opinarium.sources.files import INGEST_ORDER, read_or_empty, read_reviews_csv, stage, write_csv
+from opinarium.sources.files import INGEST_ORDER, is_finished, read_or_empty, read_reviews_csv, stage, write_csv
 from opinarium.sources.tables import TableNames, save_summary, save_tables
 
 #: Reviews that one task works through before its round is stored.
@@ -143,12 +143,13 @@ def run_workflow(spark: SparkSession, config: WorkflowConfig, factory: ex.Extrac
     folder = config.folder.rstrip("/")
     raw = read_reviews_csv(spark, config.raw_path, config.na_tokens, config.multiline,
                            ingest_order=True)
-    cleaned = stage(spark, f"{folder}/cleaned",
-                    lambda: clean_reviews(raw, config.date_formats, config.missing_flag),
-                    config.overwrite)
+    # The report comes out of the write of the cleaned rows, so a missing one brings both again.
+    both = all(is_finished(spark, f"{folder}/{name}") for name in ("cleaned", "cleaning_report"))
     report = stage(spark, f"{folder}/cleaning_report",
-                   lambda: cleaning_report(raw.drop(INGEST_ORDER), config.date_formats,
-                                           config.missing_flag), config.overwrite)
+                   lambda: write_cleaned(raw, f"{folder}/cleaned", config.date_formats,
+                                         config.missing_flag, [INGEST_ORDER]),
+                   config.overwrite or not both)
+    cleaned = spark.read.parquet(f"{folder}/cleaned")
     sampled = stage(spark, f"{folder}/sampled",
                     lambda: draw_sample(cleaned, config.sample_size, config.strata, config.seed),
                     config.overwrite)

@@ -19,7 +19,7 @@ from opinarium.sources.files import missing_to_null, write_csv
 from opinarium.sources import review_store
 from opinarium.sources.records import read_split_csv
 from opinarium.sources.snapshots import snapshot
-from opinarium.sources.tables import IntegrityError, TableNames
+from opinarium.sources.tables import IntegrityError, TableNames, with_dense_aspect_id
 from opinarium.streaming.id_index import IdIndex
 from opinarium.streaming.incremental import add_new_reviews
 
@@ -312,6 +312,32 @@ def duplicate_ids(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.duplicate_rows(fx.reviews_with_dups(spark, sf).select("review_id"))
 
 
+def dense_ids(spark: SparkSession, sf: str) -> DataFrame:
+    numbered = with_dense_aspect_id(fx.placed_aspects(spark, sf), ["review_number", "pos"])
+    return numbered.select("aspect_id", "review_id", "pos")
+
+
+def whole_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return profiling.duplicate_rows(fx.whole_reviews_with_dups(spark, sf))
+
+
+def observed_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaning report out of the write of the cleaned rows."""
+    return cleaning.write_cleaned(fx.raw_reviews(spark, sf), working_folder(spark, "cleaned"))
+
+
+def brand_aspects(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
+    """The reports over aspects alone, for some brands."""
+    own = analysis.aspects_of(reviews, aspects, FILTERED_BRANDS)
+    rates = analysis.aspect_negative_rate(own).join(analysis.aspect_frequency(own), "aspect").select(
+        F.lit("aspect").alias("report"), F.col("aspect").alias("value"), "mention_count",
+        F.col("negative_rate_pct").alias("pct"))
+    shares = analysis.aspect_sentiment_share(own).select(
+        F.lit("sentiment").alias("report"), F.col("aspect_sentiment").alias("value"), "mention_count",
+        F.col("mention_pct").alias("pct"))
+    return rates.unionByName(shares)
+
+
 def count_values(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["brand_name", "product_title", "overall_sentiment", "extraction_method"]
     counted = profiling.value_counts(fx.reviews(spark, sf), columns)
@@ -335,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "f01_brand_filter": _on_both(brand_filter),
     "f02_top_pain_points": _on_both(top_pain_points),
     "f03_brand_ratings": _on_reviews(brand_ratings),
+    "f04_brand_aspects": _on_both(brand_aspects),
     "q01_overall_sentiment": _on_reviews(analysis.overall_sentiment),
     "q02_product_sentiment_rank": _on_reviews(analysis.product_sentiment_rank),
     "q03_product_aspect_mentions": _on_both(analysis.product_aspect_mentions),
@@ -359,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "c04_normalize_whitespace": normalize_document_text,
     "c06_multiline_csv": multiline_csv,
     "c05_price_anomalies": _on_reviews(cleaning.price_anomalies),
+    "c07_observed_report": observed_report,
     "s01_stratified_sample": draw_stratified_sample,
     "s02_sample_balance": sample_balance,
     "s03_random_sample": draw_audit_sample,
@@ -381,10 +409,12 @@ QUERIES: dict[str, Query] = {
     "v04_provenance": _on_reviews(integrity.provenance),
     "v05_not_null_and_domain": rule_violations,
     "v06_cascade_delete": cascade_delete,
+    "v07_dense_ids": dense_ids,
     "p01_null_counts": _on_raw(profiling.null_counts),
     "p02_describe": _on_reviews(
         lambda r: profiling.describe(r, ["review_rating", "mrp", "price"], PROFILE_DIGITS)),
     "p03_duplicate_rows": duplicate_ids,
+    "p10_whole_duplicates": whole_duplicates,
     "p04_value_counts": count_values,
     "p05_price_histogram": _on_reviews(lambda r: profiling.histogram(r, "price")),
     "p06_reviews_by_year": _on_reviews(analysis.reviews_by_year),

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinarium.operators import integrity
+from opinarium.operators.numbering import dense_numbers
 from opinarium.operators.resume import first_per_key
 from opinarium.schemas import REVIEW_ASPECTS, REVIEWS
-from opinarium.session import removed, stored_at
+from opinarium.session import removed, stored, stored_at
 from opinarium.sources.files import conform
 
 
@@ -36,6 +37,14 @@ def with_aspect_id(aspects: DataFrame) -> DataFrame:
     return aspects.withColumn("aspect_id", F.xxhash64("review_id", "pos"))
 
 
+def with_dense_aspect_id(aspects: DataFrame, order: Sequence[str] = ("review_id", "pos")) -> DataFrame:
+    """Adds ``aspect_id`` as 1, 2, 3, ... in the order of the named columns, the order of insertion.
+
+    Other than the key of :func:`with_aspect_id` it depends on all rows, so it changes with a load.
+    """
+    return dense_numbers(stored(aspects, "aspects"), order, "aspect_id", first=1)
+
+
 def assert_loadable(reviews: DataFrame, aspects: DataFrame) -> None:
     """Raises unless required columns are filled and no aspect is orphaned."""
     broken = integrity.check_tables(reviews, aspects).filter(

@@ -257,6 +257,8 @@ def frequent_phrases(coded: DataFrame, threshold: int, longest: int, shards: int
         counting = counting.filter(F.col("start") + shards > scan)
         for filter_ in made.values():
             filter_.destroy()
+        # Spark removes the shuffle files of finished scans once the driver's garbage is collected.
+        coded.sparkSession.sparkContext._jvm.System.gc()
     return known.select("id", "left", "right", "length", "n")
 
 
@@ -292,14 +294,9 @@ def _active(summed: DataFrame, known: DataFrame | None, n_known: int, scan: int,
 def spelled(phrases: DataFrame, coded: DataFrame, longest: int) -> DataFrame:
     """Adds ``lang``, ``text`` and ``last``, the last word, to stored phrases."""
     words = phrases.filter("length = 1")
-    wanted = filters(words, "id", words.count(), {"words": F.lit(True)})["words"]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(wanted.value.holds(batch.column("id").to_numpy().view(np.uint64))))
-
-    spelling = coded.filter(F.col("part") == _SPELLING).select(F.col("code").alias("id"), "lang", "word")
-    spelling = mapped(spelling, run, "id long, lang string, word string").groupBy("id").agg(
+    # The spellings of different tasks are the same, so there is one row for each word before the join.
+    spelling = coded.filter(F.col("part") == _SPELLING).select(F.col("code").alias("id"), "lang", "word").distinct()
+    spelling = spelling.join(words.select("id"), "id", "left_semi").groupBy("id").agg(
         F.first("lang").alias("lang"), F.first("word").alias("text"))
     named = [stored(words.join(spelling, "id").withColumn("last", F.col("text")), "spelled")]
     for length in range(2, longest + 1):

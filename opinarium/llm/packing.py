@@ -4,8 +4,9 @@ Every document becomes its token ids and an end id. Only documents longer than a
 so that all pieces but the first are full. Full pieces are sequences of their own. The others are
 dealt at random to groups of bounded size; each group is packed best-fit first and improved by
 local search: documents of the least filled sequence move to others, one is exchanged for one, or
-one for two, whenever this raises the sum of squared fills, until sequences are empty or nothing
-can be gained. A group wastes less than one sequence beyond what its search leaves.
+one for two, whenever this raises the sum of squared fills. The search of a group ends when no
+fewer sequences are possible, or when every sequence that is not full was tried since the last one
+became empty. A group wastes less than one sequence beyond what its search leaves.
 
 Ids are those of the tokenizer's own library, which reads a marker that stands in a text as its
 one id. Null and empty texts are one end id long. Documents that repeat, with or without an id, are
@@ -14,6 +15,7 @@ pieces of their own. An empty table gives no rows. Further columns of the input
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 
@@ -34,8 +36,6 @@ END_ID = 0
 MARKERS = {"<|endoftext|>": 50256}
 #: Pieces of a group on average; groups are packed independently of each other.
 GROUP_PIECES = 16384
-#: The search in a group ends after so many donors in a row that could not be emptied.
-PATIENCE = 600
 
 
 def _with_markers(code, text: bytes, markers: dict[str, int]) -> np.ndarray:
@@ -158,20 +158,21 @@ class Packing:
     def local_search(self) -> None:
         """Empties the least filled sequences while exchanges raise the sum of squared fills.
 
-        Ends when no fewer sequences are possible, or when ``PATIENCE`` donors in a row were not
-        emptied.
+        Ends when no fewer sequences are possible, or when every sequence that is not full was tried
+        in vain since the last one was emptied.
         """
         least = -(-sum(self.size) // self.capacity)
         used = sum(1 for f in self.fill if f)
         if used <= least:
             return
-        options = self._options([s for s, f in enumerate(self.fill) if 0 < f < self.capacity])
+        donors = [(f, s) for s, f in enumerate(self.fill) if 0 < f < self.capacity]
+        options = self._options([s for _, s in donors])
+        heapq.heapify(donors)
         tried: set[int] = set()
-        while used > least and len(tried) < PATIENCE:
-            donors = [s for s, f in enumerate(self.fill) if 0 < f < self.capacity and s not in tried]
-            if not donors:
-                return
-            donor = min(donors, key=lambda s: (self.fill[s], s))
+        while used > least and donors:
+            fill, donor = heapq.heappop(donors)
+            if fill != self.fill[donor] or donor in tried:
+                continue  # the fill has changed since, or the sequence stands here twice
             options = _without(options, donor)
             while self.fill[donor] and len(options[0]) and (found := self._best(donor, options)):
                 out, receiver, back = found
@@ -179,12 +180,16 @@ class Packing:
                 options = _without(options, receiver)
                 if self.fill[receiver] < self.capacity:
                     options = _joined(options, self._options([receiver]))
+                    heapq.heappush(donors, (self.fill[receiver], receiver))
+            tried.add(donor)
             if self.fill[donor]:
-                tried.add(donor)
                 options = _joined(options, self._options([donor]))
-            else:
-                used -= 1
-                tried.clear()
+                continue
+            used -= 1
+            for s in tried:
+                if 0 < self.fill[s] < self.capacity:
+                    heapq.heappush(donors, (self.fill[s], s))
+            tried.clear()
 
     def places(self) -> tuple[np.ndarray, np.ndarray]:
         """Sequence and offset of every piece."""

@@ -97,11 +97,23 @@ def test_packed_ids_equal_those_of_the_tokenizers_library(spark):
         assert (rows[i]["length"], rows[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
 
 
-def test_local_search_empties_a_sequence():
-    best_fit = packing.Packing(np.array([60, 50, 50, 40, 35, 35, 30]), 100)
-    best_fit.best_fit()
-    sequence, _ = packing.pack(np.array([60, 50, 50, 40, 35, 35, 30]), 100)
-    assert sequence.max() + 1 == 3 <= sum(1 for f in best_fit.fill if f)
+@pytest.mark.parametrize("lengths, step", [
+    ([26, 33, 24, 49, 27, 32], (1, 1)), ([41, 24, 27, 29, 44, 63, 35, 17, 16], (1, 2)),
+    ([19, 32, 50, 70, 19, 61, 19, 16], (2, 1)), ([17, 41, 48, 69, 17, 33, 22, 17, 20], (1, 0))])
+def test_local_search_empties_a_sequence(lengths, step):
+    """Best fit needs one sequence more; the steps of the search include an exchange of this kind."""
+    packing_ = packing.Packing(np.array(lengths), 100)
+    packing_.best_fit()
+    used, steps, exchange = len(packing_.fill), [], packing_._exchange
+    packing_._exchange = lambda a, out, b, back: (steps.append((len(out), len(back))), exchange(a, out, b, back))
+    packing_.local_search()
+    assert step in steps
+    assert sum(1 for f in packing_.fill if f) == used - 1 == -(-sum(lengths) // 100)
+    sequence, offset = packing_.places()
+    for s in range(used - 1):
+        inside = sorted((offset[i], lengths[i]) for i in np.flatnonzero(sequence == s))
+        assert [at for at, _ in inside] == [sum(n for _, n in inside[:k]) for k in range(len(inside))]
+        assert sum(n for _, n in inside) <= 100
 
 
 def test_licenses_by_brute_force(spark, texts):

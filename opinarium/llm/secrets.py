@@ -1,9 +1,11 @@
 """Secrets in texts: three plain patterns, and strings that compress badly where secrets stand.
 
-A candidate is a long string with digits shortly after a word that names something secret. Its
-novelty is what it adds to the compressed size of nothing, with zstandard primed by a dictionary
-of common identifiers and by the text around the candidate, over its own length. Identifiers and
-paths are found in the dictionary and add little; keys add about their length. Copies of the
+A candidate is a long string shortly after a word that names something secret. Its novelty is what
+it adds to the compressed size of nothing, with zstandard primed by a dictionary of common
+identifiers and by the text around the candidate, over its own length. Identifiers are found in the
+dictionary and add little; keys add about their length. Strings that mostly read like words and short
+numbers, as paths do, are no candidates. Parts that points join to a reported candidate belong to it
+if they are long and novel themselves. Copies of the
 candidate are taken out of the text around it, so a repeated key is found at each of its places. A
 reported candidate goes on over the lines of a key block that directly follow.
 
@@ -44,6 +46,14 @@ _BREAK = r"(?:\r?\n|(?:\\r)?\\n)"
 _NEXT_LINE = re.compile(rf"[ \t]*{_BREAK}[ \t]*([A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}})(?=[ \t\"',;]*(?:[\r\n\\]|\Z))")
 _LAST_LINE = re.compile(rf"[ \t]*{_BREAK}[ \t]*([A-Za-z0-9+/_-]{{1,{LEAST - 1}}}"
                         rf"(?:={{1,2}}(?=[ \t\"',;]*(?:[\r\n\\]|\Z))|(?=[ \t]*{_BREAK}[ \t]*-----END)))")
+#: A dot and what may go on behind it.
+_JOINED = re.compile(rf"\.([A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}})")
+_PART = re.compile(r"(?<![A-Za-z0-9])(?:[a-z]{1,3}|[0-9]{1,4})(?![A-Za-z0-9])|[A-Z]?[a-z]{3,}|[A-Z]{4,}")
+_UNSPOKEN = re.compile(r"[^aeiouy]{4}", re.IGNORECASE)
+#: Least share of vowels in a word.
+VOWELS = 0.2
+#: A candidate with a larger share of words and short numbers is none.
+READABLE = 0.8
 #: A candidate begins at most so many characters behind a context word.
 CONTEXT_REACH = 48
 #: So many characters before and behind a candidate prime the compressor.
@@ -98,9 +108,11 @@ def novel_spans(text: str) -> list[tuple[int, int, int]]:
     for match in _CANDIDATE.finditer(text):
         start, end = match.span()
         at = np.searchsorted(ends, start, side="right") - 1
-        if start < done or at < 0 or start - ends[at] > CONTEXT_REACH or not any(c.isdigit() for c in match[0]):
+        if start < done or at < 0 or start - ends[at] > CONTEXT_REACH or _readable(match[0]):
             continue
         if _novel(text, start, end):
+            while (part := _JOINED.match(text, end)) and _novel(text, *part.span(1)):
+                end = part.end(1)
             done = _end_of_block(text, end)
             found.append((start, done, 3))
     return found
@@ -111,6 +123,16 @@ def _novel(text: str, start: int, end: int) -> bool:
     return _added(candidate.encode(), _around(text, start, end).encode()) >= NOVELTY * len(candidate)
 
 
+def _readable(candidate: str) -> bool:
+    """Whether most letters and digits of a candidate are in words or short numbers."""
+    read = sum(len(m[0]) for m in _PART.finditer(candidate) if m[0].isdigit() or len(m[0]) <= 3 or _spoken(m[0]))
+    return read > READABLE * sum(c.isalnum() for c in candidate)
+
+
+def _spoken(letters: str) -> bool:
+    return sum(c in "aeiouyAEIOUY" for c in letters) >= VOWELS * len(letters) and not _UNSPOKEN.search(letters)
+
+
 def _around(text: str, start: int, end: int) -> str:
     """The text before and behind a candidate, without what repeats ``LEAST`` characters of it."""
     runs = {text[i:i + LEAST] for i in range(start, end - LEAST + 1)}

@@ -509,6 +509,30 @@ ORACLES: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS aspect_id,
           CAST(l_orderkey AS VARCHAR) AS review_id, CAST(l_linenumber - 1 AS BIGINT) AS pos
         FROM lineitem""",
+    "v08_distinct_sketch": _with("reviews", """
+        SELECT brand_name, count(*) AS review_count, count(DISTINCT product_id) AS distinct_products,
+          TRUE AS within_error FROM reviews GROUP BY brand_name
+        UNION ALL SELECT '(all)', count(*), count(DISTINCT product_id), TRUE FROM reviews"""),
+    "s04_group_function": _with("reviews", """
+        SELECT brand_name, review_rating, CAST(sum(n) AS BIGINT) AS review_count,
+          coalesce(string_agg(review_id, ',' ORDER BY place) FILTER (WHERE place <= 3 AND mrp IS NOT NULL), '') AS dearest
+        FROM (SELECT brand_name, review_rating, review_id, mrp, 1 AS n, row_number() OVER (
+                PARTITION BY brand_name, review_rating ORDER BY mrp DESC NULLS LAST, review_id) AS place FROM reviews)
+        GROUP BY brand_name, review_rating"""),
+    "w03_stages": _with("reviews", """
+        SELECT CAST(r.run AS INTEGER) AS run, r.stage, r.ran,
+          CASE WHEN r.stage = 'cleaned' THEN
+                 (SELECT count(*) FROM reviews WHERE mrp IS NOT NULL AND review_rating <= r.top)
+               ELSE (SELECT count(*) FROM (
+                 SELECT brand_name, product_id, r2.top, r2.least, count(*) AS n
+                 FROM reviews, (VALUES (3, 1), (9, 1), (9, 3)) r2(top, least)
+                 WHERE mrp IS NOT NULL AND review_rating <= r2.top GROUP BY ALL HAVING count(*) >= r2.least) c
+                 WHERE c.top = r.top AND c.least = r.least) END AS row_count
+        FROM (VALUES (1, 'cleaned', TRUE, 3, 1), (1, 'counted', TRUE, 3, 1), (1, 'chosen', TRUE, 3, 1),
+          (2, 'cleaned', FALSE, 3, 1), (2, 'counted', FALSE, 3, 1), (2, 'chosen', FALSE, 3, 1),
+          (3, 'cleaned', TRUE, 9, 1), (3, 'counted', TRUE, 9, 1), (3, 'chosen', TRUE, 9, 1),
+          (4, 'cleaned', FALSE, 9, 1), (4, 'counted', FALSE, 9, 1), (4, 'chosen', TRUE, 9, 3)
+        ) r(run, stage, ran, top, least)"""),
     "p10_whole_duplicates": _with("reviews", """
         SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows
         FROM (SELECT * EXCLUDE (rows_of), sum(rows_of) AS n

@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from opinarium import fixtures as fx
 from opinarium.functions.text import normalize_whitespace, strip_html
-from opinarium.operators import cleaning, extraction, integrity, profiling, resume, sampling, summary
+from opinarium.operators import cleaning, extraction, integrity, profiling, resume, sampling, sketches, summary
+from opinarium.operators.grouped import grouped
 from opinarium.plans import analysis, workflow
 from opinarium.schemas import DEFAULT_SAMPLE_SIZE
-from opinarium.session import working_folder
+from opinarium.session import stored, working_folder
 from opinarium.sources.files import missing_to_null, write_csv
 from opinarium.sources import review_store
 from opinarium.sources.records import read_split_csv
 from opinarium.sources.snapshots import snapshot
+from opinarium.sources.stages import staged
 from opinarium.sources.tables import IntegrityError, TableNames, with_dense_aspect_id
 from opinarium.streaming.id_index import IdIndex
 from opinarium.streaming.incremental import add_new_reviews
@@ -31,6 +33,7 @@ FILTERED_BRANDS = ("BUILDING", "MACHINERY")
 TOP_ROWS = 20
 TOP_VALUES = 10
 INDEX_BUCKETS = 4
+GROUP_TOP = 3
 # A sample size above the rows of any table.
 EVERY_REVIEW = 10**12
 
@@ -357,6 +360,64 @@ def brand_ratings(reviews: DataFrame) -> DataFrame:
     return analysis.rating_alignment(reviews, brands=FILTERED_BRANDS)
 
 
+# --- sketches, a function per group, stages ----------------------------------------------
+
+
+def distinct_by_sketch(reviews: DataFrame) -> DataFrame:
+    """Distinct products per brand and over all, exactly and from sketches stored per brand and year."""
+    by_year = stored(sketches.distinct_sketches(
+        reviews.withColumn("review_year", F.year("review_date")), ["brand_name", "review_year"], "product_id"), "sketches")
+    estimated = sketches.distinct_estimates(sketches.merged_sketches(by_year, ["brand_name"])).unionByName(
+        sketches.distinct_estimates(sketches.merged_sketches(by_year)).withColumn("brand_name", F.lit("(all)")))
+    counted = reviews.groupBy("brand_name").agg(F.count_distinct("product_id").alias("distinct_products")).unionByName(
+        reviews.agg(F.lit("(all)").alias("brand_name"), F.count_distinct("product_id").alias("distinct_products")))
+    return estimated.join(counted, estimated["brand_name"].eqNullSafe(counted["brand_name"])).select(
+        counted["brand_name"], F.col("rows").alias("review_count"), "distinct_products",
+        sketches.within_error(F.col("distinct_values"), F.col("distinct_products")).alias("within_error"))
+
+
+def _dearest(rows):
+    """The three dearest of some reviews, and how many reviews there are."""
+    counted = rows["n"].sum() if "n" in rows else len(rows)
+    best = rows[rows["mrp"].notna()].sort_values(["mrp", "review_id"], ascending=[False, True])[:GROUP_TOP]
+    if best.empty:
+        best = rows[:1].assign(review_id=None, mrp=None)
+    # The count stands in the first row only, so that it can be summed.
+    return best.assign(n=[counted] + [0] * (len(best) - 1))[["review_id", "mrp", "n"]]
+
+
+def dearest_reviews(reviews: DataFrame) -> DataFrame:
+    """A pandas function with its merge, over brand and rating."""
+    rows = reviews.select("brand_name", "review_rating", "review_id", "mrp")
+    found = grouped(rows, ["brand_name", "review_rating"], _dearest, _dearest, "review_id string, mrp double, n long")
+    return found.groupBy("brand_name", "review_rating").agg(
+        F.sum("n").alias("review_count"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("review_id").isNotNull(), F.struct(
+            (-F.col("mrp")).alias("m"), "review_id")))), lambda x: x["review_id"]), ",").alias("dearest"))
+
+
+def rebuilt_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """Which of three stages run: at first, without a change, with a new file, with a new parameter."""
+    root = working_folder(spark, "stages")
+    reviews, raw, rows = fx.reviews(spark, sf), f"{root}/raw", []
+    reviews.filter("review_rating <= 3").write.parquet(raw)
+
+    def run(number: int, least: int) -> None:
+        cleaned = staged(spark, root, "cleaned", lambda: spark.read.schema(reviews.schema).parquet(raw).dropna(subset=["mrp"]), [raw])
+        counted = staged(spark, root, "counted", lambda c: c.groupBy("brand_name", "product_id").count(), after=[cleaned])
+        chosen = staged(spark, root, "chosen", lambda c, least: c.filter(F.col("count") >= least),
+                        params={"least": least}, after=[counted])
+        rows.extend((number, name, b.ran, b.table(spark).count())
+                    for name, b in (("cleaned", cleaned), ("counted", counted), ("chosen", chosen)))
+
+    run(1, 1)
+    run(2, 1)
+    reviews.filter("review_rating > 3").write.mode("append").parquet(raw)
+    run(3, 1)
+    run(4, 3)
+    return spark.createDataFrame(rows, "run int, stage string, ran boolean, row_count long")
+
+
 QUERIES: dict[str, Query] = {
     "f01_brand_filter": _on_both(brand_filter),
     "f02_top_pain_points": _on_both(top_pain_points),
@@ -410,6 +471,9 @@ QUERIES: dict[str, Query] = {
     "v05_not_null_and_domain": rule_violations,
     "v06_cascade_delete": cascade_delete,
     "v07_dense_ids": dense_ids,
+    "v08_distinct_sketch": _on_reviews(distinct_by_sketch),
+    "s04_group_function": _on_reviews(dearest_reviews),
+    "w03_stages": rebuilt_stages,
     "p01_null_counts": _on_raw(profiling.null_counts),
     "p02_describe": _on_reviews(
         lambda r: profiling.describe(r, ["review_rating", "mrp", "price"], PROFILE_DIGITS)),

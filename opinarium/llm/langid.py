@@ -18,7 +18,6 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,12 @@ from opinarium.session import stored
 
 #: At most so many distinct texts of each language are fitted, lowest hash first.
 SAMPLE_TEXTS = 1500
+#: At most so many languages are fitted: those with the most distinct texts, equal ones by name.
+#: Rows that declare another one teach nothing, and are scored like all rows.
+MOST_LANGUAGES = 256
 SLOTS = 1 << 14
+#: A text with fewer sequences says too little to be rejected for want of a certain language.
+LITTLE = 20
 EFFECTIVE = 60
 #: Share of sequences that come by chance in any language, so unseen ones cost little.
 CHANCE = 0.2
@@ -43,7 +47,8 @@ UNKNOWN = "und"
 BROADCAST_ROWS = 200_000
 
 _WORD = byte_class((0x61, 0x7A), (0x80, 0xFE))
-_HIDDEN = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.DOTALL | re.IGNORECASE)
+_BLOCK = re.compile(rb"<(script|style)\b", re.IGNORECASE)
+_CLOSINGS = {name: re.compile(rb"</" + name + rb"\s*+>", re.IGNORECASE) for name in (b"script", b"style")}
 
 
 @dataclass
@@ -79,10 +84,38 @@ def _sequences(block: Block) -> tuple[np.ndarray, np.ndarray]:
     return places, ((key * np.uint32(2654435761)) >> np.uint32(32 - 14)).astype(np.int64)
 
 
+def _shown(page: bytes) -> bytes:
+    """A page with each script, style, comment and tag as one blank, in one pass.
+
+    A closing mark that is missing once is missing from there on, so it is not looked for again.
+    """
+    parts, at, missing = [], 0, set()
+    while (start := page.find(b"<", at)) >= 0:
+        parts.append(page[at:start])
+        end = -1
+        block = _BLOCK.match(page, start)
+        kind = block[1].lower() if block else b"!--" if page.startswith(b"<!--", start) else None
+        if kind and kind not in missing:
+            if block:
+                closing = _CLOSINGS[kind].search(page, block.end())
+                end = closing.end() if closing else -1
+            else:
+                end = page.find(b"-->", start + 4) + 3
+                end = end if end > 2 else -1
+            if end < 0:
+                missing.add(kind)
+        if end < 0:  # a tag, or a block that nothing closes
+            end = page.find(b">", start) + 1
+            if not end:
+                return b"".join([*parts, page[start:]])
+        parts.append(b" ")
+        at = end
+    return b"".join([*parts, page[at:]])
+
+
 def visible(html: pa.Array) -> pa.Array:
     """The texts of pages without tags, scripts, styles and comments."""
-    return pa.array([None if h is None else _HIDDEN.sub(b" ", h.encode()).decode() for h in html.to_pylist()],
-                    pa.large_string())
+    return pa.array([None if h is None else _shown(h.encode()).decode() for h in html.to_pylist()], pa.large_string())
 
 
 def _first_of_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,13 +129,14 @@ def _first_of_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.filter(pa.array(fresh, pa.bool_()))
 
 
-def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Profiles:
+def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS, most_languages: int = MOST_LANGUAGES) -> Profiles:
     """Profiles from columns ``text`` and ``lang``; rows without either teach nothing, and copies of
     a text teach once."""
     known = labelled.select("lang", "text").filter("lang is not null and length(text) > 0") \
         .withColumn("text_hash", F.xxhash64("text", "lang"))
     distinct = stored(known.select("lang", "text_hash").distinct(), "language-texts")
-    counts = {r["lang"]: r["count"] for r in distinct.groupBy("lang").count().collect()}
+    most = distinct.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    counts = {r["lang"]: r["count"] for r in most.collect()}
     languages = sorted(counts)
     if not languages:
         return Profiles([], np.zeros((0, SLOTS), np.float32))
@@ -110,14 +144,15 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Profiles:
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, (2 * sample_texts + 100) / counts[k])])
     draw = F.pmod(F.xxhash64("text_hash"), F.lit(1 << 30)) / float(1 << 30)
     lowest = Window.partitionBy("lang").orderBy(draw, "text_hash")
-    drawn = distinct.filter(draw < share[F.col("lang")]).withColumn("place", F.row_number().over(lowest)) \
+    drawn = distinct.filter(draw < F.try_element_at(share, F.col("lang"))).withColumn("place", F.row_number().over(lowest)) \
         .filter(F.col("place") <= sample_texts)
     drawn = stored(drawn.select("lang", "text_hash"), "language-sample")
+    place = {language: i for i, language in enumerate(languages)}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(languages), SLOTS), np.int64)
         for batch in batches:
-            own = np.array([languages.index(x) for x in batch.column("lang").to_pylist()])
+            own = np.array([place[x] for x in batch.column("lang").to_pylist()])
             for block in blocks(batch.column("text")):
                 places, slots = _sequences(block)
                 rows = own[block.first + block.rows_of(places)]
@@ -132,18 +167,18 @@ def train(labelled: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Profiles:
     found = mapped(one_each, run, "language int, slot int, n long")
     table = np.zeros((len(languages), SLOTS))
     # One row per language and slot at most.
-    for row in found.groupBy("language", "slot").agg(F.sum("n").alias("n")).collect():
-        table[row["language"], row["slot"]] = row["n"]
+    language, slot, n = (c.to_numpy() for c in found.groupBy("language", "slot").agg(F.sum("n").alias("n")).toArrow().columns)
+    table[language, slot] = n
     shares = table / np.maximum(1, table.sum(axis=1, keepdims=True))
     return Profiles(languages, np.log((1 - CHANCE) * shares + CHANCE / SLOTS).astype(np.float32))
 
 
 def evidence(rows: DataFrame, profiles: Profiles, keep: list[str], html: bool = False) -> DataFrame:
-    """Adds to the columns of ``keep``: ``sequences`` and one log likelihood ``ll_i`` per language."""
-    names = [f"ll_{i}" for i in range(len(profiles.languages))]
-    schema = T.StructType([rows.schema[k] for k in keep]).add("sequences", T.LongType())
-    for name in names:
-        schema = schema.add(name, T.DoubleType())
+    """Adds to the columns of ``keep``: ``sequences``, ``letters`` (whether a text has any), and the
+    log likelihoods of all languages as the array ``ll``."""
+    schema = T.StructType([rows.schema[k] for k in keep]).add("sequences", T.LongType()) \
+        .add("letters", T.BooleanType()).add("ll", T.ArrayType(T.DoubleType()))
+    size = len(profiles.languages)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,66 +187,68 @@ def evidence(rows: DataFrame, profiles: Profiles, keep: list[str], html: bool =
                 text = visible(part.column("text")) if html else part.column("text")
                 for block in blocks(text):
                     sums, count = profiles.likelihoods(block)
+                    letters = np.zeros(len(block), dtype=bool)
+                    letters[block.rows_of(np.flatnonzero(_WORD[block.lowered().data]))] = True
                     kept = part.slice(block.first, len(block))
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(block) + 1, dtype=np.int32) * size),
+                                                     pa.array(sums.ravel()))
                     yield pa.RecordBatch.from_arrays([*(kept.column(k) for k in keep), pa.array(count),
-                                                      *(pa.array(s) for s in sums.T)], schema.names)
+                                                      pa.array(letters), lists], schema.names)
 
     return mapped(rows.select(*dict.fromkeys([*keep, "text"])), run, schema)
 
 
-def _argmax(values: list[Column], languages: list[str]) -> Column:
-    top = F.greatest(*values) if len(values) > 1 else values[0]
-    best = F.lit(languages[-1])
-    for value, language in reversed(list(zip(values, languages))):
-        best = F.when(value == top, language).otherwise(best)
-    return best
+def _vectors(counts: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """One row per key with the array ``n``: the rows of every language."""
+    pairs = counts.groupBy(*keys, "which").agg(F.sum("n").alias("n")).groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("which", "n"))).alias("of"))
+    every = F.sequence(F.lit(0), F.lit(size - 1))
+    return pairs.select(*keys, F.transform(every, lambda i: F.coalesce(F.try_element_at("of", i), F.lit(0).cast("long")))
+                        .alias("n"))
 
 
-def _shares(counts: DataFrame, key: list[str], languages: list[str], above: list[Column], prefix: str) -> DataFrame:
-    """Smoothed shares of the languages for each key; ``above`` are the shares one level up."""
-    total = reduce(lambda a, b: a + b, [F.col(f"n_{i}") for i in range(len(languages))])
-    return counts.select(*key, *[((F.col(f"n_{i}") + PRIOR_ROWS * above[i]) / (total + PRIOR_ROWS)).alias(f"{prefix}_{i}")
-                                 for i in range(len(languages))])
+def _shares(above: Column) -> Column:
+    """Smoothed shares of the languages out of their rows ``n``; ``above`` are those one level up."""
+    total = F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b)
+    return F.zip_with("n", above, lambda n, share: (n + PRIOR_ROWS * share) / (total + PRIOR_ROWS))
 
 
 def fuse(found: DataFrame, languages: list[str]) -> DataFrame:
     """Adds ``text_lang``, ``lang`` and ``probability`` to stored evidence with columns host, suffix
     and declared. All joins are on counted tables; a host with many rows is counted before them."""
-    size = range(len(languages))
     if not languages:
         return found.withColumns({"text_lang": F.lit(UNKNOWN), "lang": F.lit(UNKNOWN), "probability": F.lit(0.0)})
+    size = len(languages)
+    names = F.lit(languages)
+
+    def best_of(values: Column) -> Column:
+        return F.array_position(values, F.array_max(values)).cast("int")
+
     damped = F.least(F.lit(1.0), F.lit(float(EFFECTIVE)) / F.greatest(F.col("sequences"), F.lit(1)))
-    best = F.greatest(*[F.col(f"ll_{i}") for i in size]) if len(languages) > 1 else F.col("ll_0")
-    readable = (F.col("sequences") > 0) & (best > 0)
-    named = found.withColumn("text_lang", F.when(readable, _argmax([F.col(f"ll_{i}") for i in size], languages))
-                             .otherwise(UNKNOWN))
-    keys = ["host", "suffix", "declared"]
-    counted = stored(named.filter(F.col("text_lang") != UNKNOWN).groupBy(*keys).agg(
-        *[F.sum((F.col("text_lang") == languages[i]).cast("long")).alias(f"n_{i}") for i in size]), "language-counts")
-    sums = [F.coalesce(F.sum(f"n_{i}"), F.lit(0)).alias(f"n_{i}") for i in size]
-    overall = counted.agg(*sums).first()
-    rows = sum(overall[f"n_{i}"] for i in size)
-    everywhere = [F.lit((overall[f"n_{i}"] + 1) / (rows + len(languages))) for i in size]
-    by_suffix = _shares(counted.groupBy("suffix").agg(*sums), ["suffix"], languages, everywhere, "s")
-    suffix_of_host = counted.groupBy("host", "suffix").agg(*sums)
-    by_host = suffix_of_host.join(by_suffix, suffix_of_host["suffix"].eqNullSafe(by_suffix["suffix"])) \
-        .drop(by_suffix["suffix"])
-    by_host = stored(_shares(by_host, ["host", "suffix"], languages, [F.col(f"s_{i}") for i in size], "h"), "language-hosts")
-    declared = counted.groupBy(F.col("declared").alias("_declared")).agg(*sums)
+    readable = (F.col("sequences") > 0) & (F.array_max("ll") > 0)
+    named = found.withColumn("_which", F.when(readable, best_of(F.col("ll")) - 1))
+    counted = stored(named.filter("_which is not null").groupBy("host", "suffix", "declared", F.col("_which").alias("which"))
+                     .agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    overall = [0] * size
+    for row in counted.groupBy("which").agg(F.sum("n").alias("n")).collect():  # one row per language
+        overall[row["which"]] = row["n"]
+    everywhere = F.lit([(n + 1) / (sum(overall) + size) for n in overall])
+    by_suffix = _vectors(counted, ["suffix"], size).select(F.col("suffix").alias("_suffix"), _shares(everywhere).alias("s"))
+    by_host = _vectors(counted, ["host", "suffix"], size).join(by_suffix, F.col("suffix").eqNullSafe(F.col("_suffix")))
+    by_host = stored(by_host.select(F.col("host").alias("_host"), "_suffix", _shares(F.col("s")).alias("h")), "language-hosts")
+    declared = _vectors(counted, ["declared"], size)
     values = declared.count()
-    declared = stored(declared.select("_declared", *[F.log((F.col(f"n_{i}") + 1.0) / (overall[f"n_{i}"] + values + 1.0))
-                                                    .alias(f"d_{i}") for i in size]), "language-declared")
-    joined = named.join(by_host.withColumnsRenamed({"host": "_host", "suffix": "_suffix"}),
-                        F.col("host").eqNullSafe(F.col("_host")) & F.col("suffix").eqNullSafe(F.col("_suffix")), "left") \
+    declared = stored(declared.select(F.col("declared").alias("_declared"), F.zip_with(
+        "n", F.lit(overall), lambda n, all_: F.log((n + 1.0) / (all_ + values + 1.0))).alias("d")), "language-declared")
+    joined = named.join(by_host, F.col("host").eqNullSafe(F.col("_host")) & F.col("suffix").eqNullSafe(F.col("_suffix")), "left") \
         .join(declared, F.col("declared").eqNullSafe(F.col("_declared")), "left")
-    logs = [F.log(F.coalesce(F.col(f"h_{i}"), everywhere[i])) + F.coalesce(F.col(f"d_{i}"), F.lit(0.0))
-            + F.col(f"ll_{i}") * damped for i in size]
-    joined = joined.withColumns({f"p_{i}": logs[i] for i in size})
-    joined = joined.withColumn("_top", F.greatest(*[F.col(f"p_{i}") for i in size]) if len(languages) > 1 else F.col("p_0"))
-    total = reduce(lambda a, b: a + b, [F.exp(F.col(f"p_{i}") - F.col("_top")) for i in size])
+    prior = F.zip_with(F.coalesce("h", everywhere), F.coalesce("d", F.lit([0.0] * size)), lambda h, d: F.log(h) + d)
+    joined = joined.withColumn("_p", F.zip_with(prior, "ll", lambda before, ll: before + ll * damped))
+    top = F.array_max("_p")
     return joined.withColumns({
-        "lang": F.when(readable, _argmax([F.col(f"p_{i}") for i in size], languages)).otherwise(UNKNOWN),
-        "probability": F.when(readable, 1.0 / total).otherwise(0.0),
+        "text_lang": F.coalesce(F.get(names, F.col("_which")), F.lit(UNKNOWN)),
+        "lang": F.when(readable, F.get(names, best_of(F.col("_p")) - 1)).otherwise(UNKNOWN),
+        "probability": F.when(readable, 1.0 / F.aggregate("_p", F.lit(0.0), lambda a, p: a + F.exp(p - top))).otherwise(0.0),
     }).select(*found.columns, "text_lang", "lang", "probability")
 
 
@@ -241,18 +278,20 @@ def page_languages(pages: DataFrame, profiles: Profiles) -> DataFrame:
 
 def document_languages(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """Per document: doc_id, text_hash, text_lang, lang, probability, kept. The source stands for
-    the host; documents carry no markup and no address."""
+    the host; documents carry no markup and no address. A document is kept unless it has no letters,
+    or is long enough to tell and has no certain language."""
     rows = docs.select("doc_id", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
                        F.coalesce(F.col("source"), F.lit("")).alias("host"), F.lit("").alias("suffix"),
                        F.lit("").alias("declared"), "text")
     found = stored(evidence(rows, profiles, ["doc_id", "text_hash", "host", "suffix", "declared"]), "language-evidence")
     return fuse(found, profiles.languages).select(
         "doc_id", "text_hash", "text_lang", "lang", "probability",
-        ((F.col("lang") != UNKNOWN) & (F.col("probability") >= CERTAIN)).alias("kept"))
+        (F.col("letters") & ((F.col("sequences") < LITTLE) | (F.col("lang") != UNKNOWN)
+                             & (F.col("probability") >= CERTAIN))).alias("kept"))
 
 
 def readable_documents(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """The documents whose language is known with certainty, all columns as they were.
+    """The documents that are kept by ``document_languages``, all columns as they were.
 
     Only ids and hashes of the rejected are joined.
     """

@@ -3,7 +3,8 @@
 A template is wording with marks: ``<<beginOptional>>`` ... ``<<endOptional>>`` around what may be
 left out, and ``<<var;words=N>>`` for up to N words of any kind. Each template becomes an automaton
 over words. A text has the template's label wherever the automaton accepts, so all wording outside
-of such regions must stand there word for word. Base phrases are templates without regions.
+of such regions must stand there word for word. Base phrases are templates without regions. Texts of
+licenses are templates from their first to their last word (:mod:`opinarium.llm.license_texts`).
 
 Words are runs of digits, letters and characters beyond ASCII, with A-Z in lower case; everything
 else separates. Null and empty texts have no words. Whole texts are searched. Rows may repeat. An
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from opinarium.llm.arrays import mapped, Block, block_of, blocks, byte_class, kept_in_worker, per_row, span_hashes, spans
+from opinarium.llm.license_texts import WHOLE_TEXTS
 
 # Phrases and their labels.
 BASE = {
@@ -30,6 +32,7 @@ BASE = {
     "mit license": "mit",
 }
 
+# Names of licenses, then whole texts and notices, accepted with all of their wording only.
 TEMPLATES = {
     "apache-2.0": "apache license <<var;words=1>> version 2.0",
     "gpl-2.0": "gnu general public license <<beginOptional>>as published by the free software foundation"
@@ -43,13 +46,7 @@ TEMPLATES = {
     "cc-by-nd-4.0": "cc by nd 4.0",
     "cc0-1.0": "cc0 <<beginOptional>>1.0<<endOptional>> universal",
     "mit-notice": "released under <<beginOptional>>the terms of<<endOptional>> the <<beginOptional>>expat or<<endOptional>> mit license",
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this <<var;words=3>> "
-                "and associated documentation files the <<var;words=3>> to deal in the <<var;words=3>> without restriction",
-    "isc": "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software "
-           "<<beginOptional>>and its documentation<<endOptional>> for any purpose with or without fee is hereby granted",
-    "bsd": "redistribution and use in source and binary forms <<beginOptional>>of <<var;words=4>><<endOptional>> with or "
-           "without modification are permitted provided that the following conditions are met",
-    "mpl-2.0": "subject to the terms of the mozilla public license v <<beginOptional>>version<<endOptional>> 2.0",
+    **WHOLE_TEXTS,
 }
 
 _WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFE))

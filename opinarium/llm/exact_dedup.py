@@ -3,8 +3,10 @@
 First pass: every text sets two bits, named by its digest, and bits set more than once are kept.
 Second pass: a text is possibly repeated if both of its bits are among those. Only possibly
 repeated rows are shuffled and compared by their whole digests; the others pass straight through.
-Bits set once are never sent anywhere, so the filter is as large as the repeats make it. A small
-filter is broadcast; Spark checks its size and joins narrow digests with it if it is large.
+To count the bits, each row sends two positions, neither its digest nor its text. Bits set once are
+not kept, so the filter is as large as the repeats make it. A small filter is broadcast; Spark checks
+its size and joins narrow digests with it if it is large. Whole rows meet only a filter of bounded
+size that the repeated digests set.
 
 Texts are equal if they are the same after A-Z became lower case; null counts as empty. Of equal
 texts the row with the largest doc_id stays, and a null id is the smallest. Rows may repeat with
@@ -26,6 +28,10 @@ from opinarium.session import stored
 BITS_PER_ROW = 64
 #: Texts with a larger share of the rows are joined apart; there are fewer than 1000 of them.
 HOT_SHARE = 0.001
+#: Most bits of the filter that is sent to the whole rows: 2 ** 20 words of 64 bits.
+ROW_FILTER_BITS = 1 << 26
+#: Longest list of repeated texts that is sent to all tasks; a longer one meets only the rows that pass the filter.
+BROADCAST_TEXTS = 100_000
 
 
 def normalized(text: Column) -> Column:
@@ -100,20 +106,64 @@ def copy_groups(docs: DataFrame) -> DataFrame:
         "text_sha256")
 
 
+def _filter_of(digests: DataFrame, size: int, digest: str) -> DataFrame:
+    """The words of 64 bits that the digests set; there are at most size / 64 of them."""
+    bits = digests.select(F.explode(F.array(*_bits(digest, size))).alias("bit"))
+    return bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask"))
+
+
+def repeated_texts(docs: DataFrame) -> DataFrame:
+    """text_sha256, keep_id, n_rows, n_kept of every text that stands in more than one row; ``n_kept``
+    of its rows have the id that stays. Only digests and ids are shuffled."""
+    rows = stored(digested(docs.select("doc_id", "text")).select("doc_id", "text_sha256"), "digests")
+    size = _size(rows.count())
+    words = stored(repeated_bits(rows, size), "repeated-bits")
+    per_id = possibly_repeated(rows, words, size).filter("possible").groupBy("text_sha256", "doc_id").agg(
+        F.count("*").alias("n"))
+    last = F.max(F.struct("doc_id", "n"))
+    return per_id.groupBy("text_sha256").agg(
+        last.getField("doc_id").alias("keep_id"), F.sum("n").alias("n_rows"), last.getField("n").alias("n_kept")
+    ).filter("n_rows > 1")
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents without copies, all columns as they were; exactly one row per text.
 
-    Rows that are not possibly repeated pass without a shuffle. Of the others, those with one
-    digest are reduced before and after the shuffle to the one with the largest id, and among
-    rows with that id to the largest by the other columns.
+    What goes is decided on digests and ids. Whole rows are shuffled only if they pass a filter of
+    the repeated texts and these are too many to broadcast, and then once; hot texts lose their copies
+    before. Rows that repeat the id that stays are reduced, before and after a shuffle, to the largest
+    by the other columns.
     """
-    digest, possible, best = unused(docs.columns, "_digest", "_possible", "_row")
+    digest, keep, copies, possible, best = unused(docs.columns, "_digest", "_keep", "_copies", "_possible", "_row")
     rows = digested(docs, digest=digest)
-    digests = stored(rows.select(digest), "digests")
-    size = _size(digests.count())
-    words = stored(repeated_bits(digests, size, digest), "repeated-bits")
-    flagged = possibly_repeated(rows, words, size, digest, possible)
+    repeated = stored(repeated_texts(docs), "repeated-texts")
+    known = repeated.select(F.col("text_sha256").alias(digest), F.struct("keep_id").alias(keep),
+                            F.col("n_kept").alias(copies), "n_rows")
+    facts = repeated.agg(F.count("*").alias("texts"), F.sum("n_rows").alias("rows"),
+                         F.coalesce(F.max("n_kept"), F.lit(1)).alias("most")).first()
+
+    def left(part: DataFrame, texts: DataFrame) -> DataFrame:
+        """Rows whose text is not listed, or that have the id that stays."""
+        found = part.join(texts.drop("n_rows"), digest, "left")
+        return found.filter(F.col(keep).isNull() | F.col("doc_id").eqNullSafe(F.col(keep).getField("keep_id")))
+
+    if facts["texts"] <= BROADCAST_TEXTS:
+        found = left(rows, F.broadcast(known))
+    else:
+        least = max(1000, int(facts["rows"] * HOT_SHARE))
+        hot, seldom = known.filter(F.col("n_rows") > least), known.filter(F.col("n_rows") <= least)
+        size = min(ROW_FILTER_BITS, _size(facts["texts"]))
+        words = F.broadcast(stored(_filter_of(seldom, size, digest), "row-filter"))
+        cold = left(rows, F.broadcast(hot))
+        listed = cold.filter(F.col(keep).isNotNull())
+        flagged = possibly_repeated(cold.filter(F.col(keep).isNull()).drop(keep, copies), words, size, digest, possible)
+        compared = left(flagged.filter(possible), seldom)
+        found = compared.select(*listed.columns).unionByName(listed).unionByName(
+            flagged.filter(~F.col(possible)).select(*rows.columns), allowMissingColumns=True)
+    if facts["most"] == 1:
+        return found.select(*docs.columns)
+    once = F.coalesce(F.col(copies), F.lit(1)) == 1
     order = ["doc_id", *(c for c in docs.columns if c != "doc_id")]
-    apart = flagged.filter(~F.col(possible)).select(*docs.columns)
-    kept = flagged.filter(possible).groupBy(digest).agg(F.max(F.struct(*order)).alias(best))
-    return apart.unionByName(kept.select(f"{best}.*").select(*docs.columns))
+    single = found.filter(~once).groupBy(digest).agg(F.max(F.struct(*order)).alias(best))
+    return found.filter(once).select(*docs.columns).unionByName(single.select(f"{best}.*").select(*docs.columns))

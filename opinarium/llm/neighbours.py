@@ -4,7 +4,8 @@ Vectors of length one are projected on normal directions, shifted and cut into c
 ``WIDTH``; ``HASHES`` cells name a bucket of a table, and there are ``TABLES`` tables. A query visits
 its own bucket of each table, then ``PROBES - 1`` neighbouring ones in the order of estimated success,
 that is by the summed squared distances to the cell walls crossed. Everything found in any table is
-ranked by its exact cosine.
+ranked by its exact cosine: matrix products find what can be among the nearest, and the score of each
+such pair is summed by itself in one fixed order, so equal vectors get equal scores.
 
 Buckets with many vectors are split, and a query goes to all parts. Parts of many buckets share a
 group of bounded size, in which scores are matrix products. Of equal vectors only as many as can be
@@ -30,10 +31,14 @@ from pyspark.sql import functions as F
 from opinarium.llm.arrays import mapped
 from opinarium.session import stored
 
-TABLES, HASHES, WIDTH, PROBES = 8, 10, 2.5, 80
+TABLES, HASHES, WIDTH, PROBES = 4, 8, 3.0, 60
 #: Vectors of one part of a bucket, and of one group of parts, on average.
 PART_ROWS = 4096
 GROUP_ROWS = 16384
+#: Cosines out of matrix products are off by less than this.
+MARGIN = 1e-9
+#: Numbers held at once while pairs are scored.
+PAIR_NUMBERS = 1 << 22
 
 
 def usable(vector: Column) -> Column:
@@ -54,6 +59,27 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors with a largest component between 0.5 and 1, divided by powers of two, so exactly."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
+
+
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors * vectors).sum(axis=1))
+
+
+def _pair_scores(left: np.ndarray, left_norms: np.ndarray, who: np.ndarray,
+                 right: np.ndarray, right_norms: np.ndarray, whom: np.ndarray) -> np.ndarray:
+    """The cosine of each pair of rows. It depends on the two vectors alone, not on their places."""
+    out = np.empty(len(who))
+    step = max(1, PAIR_NUMBERS // max(1, left.shape[1]))
+    for at in range(0, len(who), step):
+        a, b = who[at:at + step], whom[at:at + step]
+        out[at:at + step] = (left[a] * right[b]).sum(axis=1) / (left_norms[a] * right_norms[b])
+    return out
+
+
 class Tables:
     """The hash functions for vectors of one length; the same everywhere."""
 
@@ -131,6 +157,16 @@ def _hashed(vectors: DataFrame, probes: int | None) -> DataFrame:
     return mapped(vectors.select("id", "vector"), run, "id long, vector array<double>, keys array<long>")
 
 
+def _first(who: np.ndarray, found: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """The places of the ``k`` largest scores of each query, ties to smaller ids; an id counts once."""
+    order = np.lexsort((found, -scores, who))
+    once = np.ones(len(order), dtype=bool)
+    once[1:] = (np.diff(who[order]) != 0) | (np.diff(found[order]) != 0)
+    order = order[once]
+    place = np.arange(len(order)) - np.searchsorted(who[order], who[order])
+    return order[place < k]
+
+
 def _nearest(index: pa.Table, queries: pa.Table, k: int) -> Iterator[pa.Table]:
     """The best ``k`` of each query among the vectors whose bucket it visits, within one group."""
     lengths = pc.list_value_length(index.column("vector")).to_numpy()
@@ -138,12 +174,14 @@ def _nearest(index: pa.Table, queries: pa.Table, k: int) -> Iterator[pa.Table]:
     for length in np.intersect1d(lengths, query_lengths):
         rows = index.filter(pa.array(lengths == length)).combine_chunks()
         asked = queries.filter(pa.array(query_lengths == length)).combine_chunks()
-        vectors = _unit(_matrix(rows.column("vector").combine_chunks()))
-        wanted = _unit(_matrix(asked.column("vector").combine_chunks()))
+        exact = _scaled(_matrix(rows.column("vector").combine_chunks()))
+        exact_wanted = _scaled(_matrix(asked.column("vector").combine_chunks()))
         ids, query_ids = rows.column("id").to_numpy(), asked.column("id").to_numpy()
         keys = rows.column("key").to_numpy()
         order = np.lexsort((ids, keys))
-        ids, keys, vectors = ids[order], keys[order], vectors[order]
+        ids, keys, exact = ids[order], keys[order], exact[order]
+        norms, wanted_norms = _norms(exact), _norms(exact_wanted)
+        vectors, wanted = exact / norms[:, None], exact_wanted / wanted_norms[:, None]
         visits = asked.column("keys").combine_chunks()
         visit_key = visits.flatten().to_numpy()
         visit_row = np.repeat(np.arange(len(asked)), np.diff(visits.offsets.to_numpy()))
@@ -160,18 +198,16 @@ def _nearest(index: pa.Table, queries: pa.Table, k: int) -> Iterator[pa.Table]:
             scores[query_ids[who][:, None] == ids[None, a:b]] = -np.inf
             if b - a > k:
                 least = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
-                hit, column = np.nonzero((scores >= least) & (scores > -np.inf))
+                hit, column = np.nonzero((scores >= least - MARGIN) & (scores > -np.inf))
             else:
                 hit, column = np.nonzero(scores > -np.inf)
-            out[0].append(who[hit])
-            out[1].append(ids[a + column])
-            out[2].append(scores[hit, column])
+            scores = _pair_scores(exact_wanted, wanted_norms, who[hit], exact, norms, a + column)
+            best = _first(who[hit], ids[a + column], scores, k)
+            for part, values in zip(out, (who[hit], ids[a + column], scores)):
+                part.append(values[best])
         if out[0]:
             who, found, scores = (np.concatenate(x) for x in out)
-            order = np.lexsort((found, -scores, who))
-            who, found, scores = who[order], found[order], scores[order]
-            place = np.arange(len(who)) - np.searchsorted(who, who)
-            best = place < k
+            best = _first(who, found, scores, k)
             yield pa.table([query_ids[who[best]], found[best], scores[best]], names=["query_id", "vec_id", "score"])
 
 
@@ -201,11 +237,13 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, probes:
         F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asked"))
     # Of equal vectors, one more than can be among the nearest: the query may be one of them.
+    # The limit on the window's places works in every task before the shuffle, so a vector that very
+    # many rows share sends k + 1 of them per task.
     same = Window.partitionBy("vector").orderBy("id")
-    distinct = good.groupBy("vector", "id").agg(F.max("asked").alias("asked"))
-    few = stored(distinct.withColumn("place", F.row_number().over(same)).filter((F.col("place") <= k + 1) | F.col("asked"))
-                 .withColumn("indexed", F.col("place") <= k + 1).drop("place"), "vectors")
-    indexed, asked = few.filter("indexed"), few.filter("asked")
+    distinct = good.select("id", "vector").distinct()
+    indexed = stored(distinct.withColumn("place", F.row_number().over(same)).filter(F.col("place") <= k + 1)
+                     .drop("place"), "vectors")
+    asked = stored(good.filter("asked").select("id", "vector").distinct(), "queries")
     total = indexed.count()
 
     keyed = stored(_hashed(indexed, None).select("id", "vector", F.explode("keys").alias("key")), "vector-buckets")

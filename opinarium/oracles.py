@@ -370,6 +370,12 @@ ORACLES: dict[str, str] = {
         SELECT 'sentiment', aspect_sentiment, n, {_pct("n", "CAST(sum(n) OVER () AS BIGINT)")}
         FROM (SELECT aspect_sentiment, count(*) AS n FROM mentions
               WHERE brand_name IN ('BUILDING', 'MACHINERY') GROUP BY aspect_sentiment)"""),
+    "f05_pruned_brand": _with("mentions", """
+        SELECT 'listed' AS way, brand_name, aspect, count(*) AS mention_count FROM mentions
+        WHERE brand_name IN ('BUILDING', 'MACHINERY') GROUP BY brand_name, aspect
+        UNION ALL
+        SELECT 'chosen', brand_name, aspect, count(*) FROM mentions
+        WHERE brand_name < 'G' GROUP BY brand_name, aspect"""),
     "m01_aspect_frequency": _with("review_aspects", """
         SELECT aspect, count(*) AS mention_count FROM review_aspects GROUP BY aspect"""),
     "m02_aspect_negative_rate": _with("review_aspects", f"""

@@ -17,7 +17,7 @@ from opinarium.plans import analysis, workflow
 from opinarium.schemas import DEFAULT_SAMPLE_SIZE
 from opinarium.session import stored, working_folder
 from opinarium.sources.files import missing_to_null, write_csv
-from opinarium.sources import review_store
+from opinarium.sources import brand_layout, review_store
 from opinarium.sources.records import read_split_csv
 from opinarium.sources.snapshots import snapshot
 from opinarium.sources.stages import staged
@@ -30,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AUDIT_SIZE = 30
 PROFILE_DIGITS = 4
 FILTERED_BRANDS = ("BUILDING", "MACHINERY")
+CHOSEN_BELOW = "G"
 TOP_ROWS = 20
 TOP_VALUES = 10
 INDEX_BUCKETS = 4
@@ -341,6 +342,20 @@ def brand_aspects(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
     return rates.unionByName(shares)
 
 
+def pruned_brands(spark: SparkSession, sf: str) -> DataFrame:
+    """Aspects of some brands, listed or chosen by a table, out of tables laid out by brand."""
+    folder = working_folder(spark, "by-brand")
+    reviews = fx.reviews(spark, sf)
+    own = brand_layout.write_by_brand(reviews, f"{folder}/reviews")
+    table = brand_layout.write_aspects_by_brand(reviews, fx.review_aspects(spark, sf), f"{folder}/aspects")
+    counts = stored(own.rows(spark).groupBy("brand_name").agg(F.count(F.lit(1)).alias("review_count")), "brands")
+    ways = {"listed": table.of_brands(spark, FILTERED_BRANDS),
+            "chosen": table.of_chosen(spark, counts.filter(F.col("brand_name") < CHOSEN_BELOW))}
+    return reduce(DataFrame.unionByName, [
+        found.groupBy("brand_name", "aspect").agg(F.count(F.lit(1)).alias("mention_count")).select(
+            F.lit(way).alias("way"), "brand_name", "aspect", "mention_count") for way, found in ways.items()])
+
+
 def count_values(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["brand_name", "product_title", "overall_sentiment", "extraction_method"]
     counted = profiling.value_counts(fx.reviews(spark, sf), columns)
@@ -423,6 +438,7 @@ QUERIES: dict[str, Query] = {
     "f02_top_pain_points": _on_both(top_pain_points),
     "f03_brand_ratings": _on_reviews(brand_ratings),
     "f04_brand_aspects": _on_both(brand_aspects),
+    "f05_pruned_brand": pruned_brands,
     "q01_overall_sentiment": _on_reviews(analysis.overall_sentiment),
     "q02_product_sentiment_rank": _on_reviews(analysis.product_sentiment_rank),
     "q03_product_aspect_mentions": _on_both(analysis.product_aspect_mentions),

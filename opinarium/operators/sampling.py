@@ -4,8 +4,8 @@ A row's place in the random order is a seeded hash of its key, so a sample does
 on how the data is partitioned. The rows that a stratum gives are always the first ones in
 this order, so a sample is described by one hash bound per stratum, and drawing it is a
 filter. The bounds are found without sorting a stratum: its order is cut into cells by the
-leading hex digits of the hash, rows are counted per cell, and only the hashes in the cell
-that a bound falls into are ordered, about one in 4096.
+leading hex digits of the hash, and rows are counted per cell. A cell that a bound falls into is cut
+by its next digits and counted again, until it is small; only then its hashes are ordered.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from opinarium.schemas import DEFAULT_SAMPLE_SIZE, DEFAULT_SEED, DEFAULT_STRATA
 from opinarium.session import stored
 
 CELL_DIGITS = 3
+HASH_DIGITS = 32
+# Rows of a cell, over all strata, that one task may order.
+CELL_ROWS = 65_536
 _EXPLODE_STEP = 65_536
 # Sorts after every hex digit.
 AFTER_ALL = "~"
@@ -97,28 +100,78 @@ def _renamed(df: DataFrame, strata: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({name: f"{prefix}{i}" for i, name in enumerate(strata)})
 
 
+def _all_in() -> Column:
+    """Whether the sample has all rows of a (stratum, cell)."""
+    return (((F.col("_take") == 0) | (F.col("_limit0") == F.col("_size0")))
+            & ((F.col("_take") == F.col("_count")) | (F.col("_limit1") == F.col("_size1"))))
+
+
+def _all_out() -> Column:
+    return (((F.col("_take") == 0) | (F.col("_limit0") == 0))
+            & ((F.col("_take") == F.col("_count")) | (F.col("_limit1") == 0)))
+
+
+NUMBERS = ("_take", "_size0", "_size1", "_limit0", "_limit1")
+
+
+def _within(rows: DataFrame, plan: DataFrame, strata: Sequence[str], digits: int) -> DataFrame:
+    """The rows in cells that a cut runs through, with the cell (``_open``) and its numbers."""
+    cells = _renamed(plan.filter(~_all_in() & ~_all_out()), strata, "_o").select(
+        *[f"_o{i}" for i in range(len(strata))], F.col("_cell").alias("_open"), *NUMBERS)
+    match = _same_stratum(strata, "_o") & (F.substring("_hash", 1, digits) == F.col("_open"))
+    return rows.select(*strata, "_hash").join(cells, match).select(*strata, "_hash", "_open", *NUMBERS)
+
+
+def _divided(inside: DataFrame, strata: Sequence[str], digits: int) -> DataFrame:
+    """The cells that ``inside`` is cut into by its first ``digits`` digits, with what each gives.
+
+    What an open cell has of a tier that is cut lies in open cells only, and a tier that is not cut is
+    in or out as a whole, so the numbers of the open cells suffice. No window holds more rows than a
+    cell has parts, times the strata.
+    """
+    cells = inside.groupBy(*strata, "_open", *NUMBERS, F.substring("_hash", 1, digits).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_count"))
+    in_stratum = W.partitionBy(*strata, "_open").orderBy("_cell")
+    cells = cells.withColumn("_part", _clip(F.col("_take") - _before("_count", in_stratum), F.col("_count")))
+    tiers = cells.groupBy("_open", "_cell").agg(
+        F.sum("_part").alias("_n0"), F.sum(F.col("_count") - F.col("_part")).alias("_n1"),
+        F.max("_limit0").alias("_l0"), F.max("_limit1").alias("_l1"))
+    in_cell = W.partitionBy("_open").orderBy("_cell")
+    tiers = tiers.select("_cell", *[F.col(f"_n{t}").alias(f"_size{t}") for t in (0, 1)], *[
+        _clip(F.col(f"_l{t}") - _before(f"_n{t}", in_cell), F.col(f"_n{t}")).alias(f"_limit{t}") for t in (0, 1)])
+    return cells.select(*strata, "_cell", "_count", F.col("_part").alias("_take")).join(tiers, "_cell")
+
+
+def _largest_open(plan: DataFrame) -> int:
+    counts = plan.filter(~_all_in() & ~_all_out()).groupBy("_cell").agg(F.sum("_count").alias("_rows"))
+    return counts.agg(F.coalesce(F.max("_rows"), F.lit(0)).alias("_most")).first()["_most"]
+
+
 def _bounds(rows: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
     """One row per stratum: the first hash that is not in the sample as a whole.
 
     ``_times`` is the number of rows with exactly this hash that are still in. The tables of
-    cells and bounds are stored: they are small next to the rows, and once their size is
-    known the rows meet them in a broadcast join and are not shuffled.
+    cells are stored: they are small next to the rows, and once their size is known the rows
+    meet them in a broadcast join and are not shuffled.
     """
-    cells = rows.groupBy(*strata, "_cell").agg(F.count(F.lit(1)).alias("_count"))
+    digits = CELL_DIGITS
+    cells = rows.groupBy(*strata, F.substring("_hash", 1, digits).alias("_cell")).agg(F.count(F.lit(1)).alias("_count"))
     plan = stored(_allocate(cells, strata, n), "sample-cells")
-    count, take = F.col("_count"), F.col("_take")
-    no_tier0, no_tier1 = take == 0, take == count
-    all_in = ((no_tier0 | (F.col("_limit0") == F.col("_size0")))
-              & (no_tier1 | (F.col("_limit1") == F.col("_size1"))))
-    all_out = ((no_tier0 | (F.col("_limit0") == 0)) & (no_tier1 | (F.col("_limit1") == 0)))
+    plans, most = [plan], _largest_open(plan)
+    while most > CELL_ROWS and digits < HASH_DIGITS:
+        inside = _within(rows, plan, strata, digits)
+        digits = min(HASH_DIGITS, digits + CELL_DIGITS)
+        plan = stored(_divided(inside, strata, digits), "sample-cells")
+        plans.append(plan)
+        before, most = most, _largest_open(plan)
+        # Different hashes part into thousands of cells: what stays together are copies of one row.
+        if most > before // 2:
+            break
 
     # Hashes in the cells that a cut runs through. Copies of a row are counted, not listed.
-    numbers = ["_take", "_size0", "_size1", "_limit0", "_limit1"]
-    open_cells = _renamed(plan.filter(~all_in & ~all_out), strata, "_o").select(
-        *[f"_o{i}" for i in range(len(strata))], F.col("_cell").alias("_open"), *numbers)
-    match = _same_stratum(strata, "_o") & (F.col("_cell") == F.col("_open"))
-    cut = rows.select(*strata, "_cell", "_hash").join(open_cells, match).groupBy(
-        *strata, "_cell", "_hash", *numbers).agg(F.count(F.lit(1)).alias("_rows"))
+    take = F.col("_take")
+    cut = _within(rows, plan, strata, digits).withColumnRenamed("_open", "_cell").groupBy(
+        *strata, "_cell", "_hash", *NUMBERS).agg(F.count(F.lit(1)).alias("_rows"))
     in_cell = W.partitionBy(*strata, "_cell").orderBy("_hash")
     cut = cut.withColumn("_first", _clip(take - _before("_rows", in_cell), F.col("_rows")))
     tiers = [F.struct(F.lit(t).alias("_tier"), part.alias("_part"),
@@ -132,13 +185,12 @@ def _bounds(rows: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
     cut = cut.groupBy(*strata, "_hash", "_rows").agg(F.sum("_times").alias("_times"))
 
     none = F.lit(0).cast("bigint").alias("_times")
-    ends = plan.select(*strata, F.when(all_out, F.col("_cell")).otherwise(F.lit(AFTER_ALL))
-                       .alias("_bound"), none)
-    ends = ends.unionByName(cut.filter(F.col("_times") < F.col("_rows")).select(
-        *strata, F.col("_hash").alias("_bound"), "_times"))
-    bounds = ends.groupBy(*strata).agg(
+    ends = cut.filter(F.col("_times") < F.col("_rows")).select(*strata, F.col("_hash").alias("_bound"), "_times")
+    for level in plans:
+        ends = ends.unionByName(level.select(
+            *strata, F.when(_all_out(), F.col("_cell")).otherwise(F.lit(AFTER_ALL)).alias("_bound"), none))
+    return ends.groupBy(*strata).agg(
         F.min("_bound").alias("_bound"), F.min_by("_times", "_bound").alias("_times"))
-    return stored(bounds, "sample-bounds")
 
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
@@ -163,16 +215,24 @@ def exact_sample(df: DataFrame, n: int, strata: Sequence[str] = (), seed: int =
     """
     columns = df.columns
     rows = df.withColumn("_hash", order_hash(df, seed, key))
-    rows = rows.withColumn("_cell", F.substring("_hash", 1, CELL_DIGITS))
     bounds = _bounds(rows, strata, n)
     if strata:
+        bounds = stored(bounds, "sample-bounds")
         bounded = rows.join(_renamed(bounds, strata, "_b"), _same_stratum(strata, "_b"))
+        sure = bounded.filter(F.col("_hash") < F.col("_bound")).select(*columns)
+        ties = bounds.filter(F.col("_times") > 0)
+        if ties.isEmpty():
+            return sure
     else:
-        bounded = rows.withColumn("_bound", bounds.select("_bound").scalar())
-    sure = bounded.filter(F.col("_hash") < F.col("_bound")).select(*columns)
-    ties = bounds.filter(F.col("_times") > 0)
-    if ties.isEmpty():
-        return sure
+        # One bound for all rows is a value in the filter; the copies at it are in the same row.
+        bound = bounds.first()
+        if bound is None:
+            return df.select(*columns)
+        sure = rows.filter(F.col("_hash") < bound["_bound"]).select(*columns)
+        if not bound["_times"]:
+            return sure
+        ties = df.sparkSession.range(1).select(F.lit(bound["_bound"]).alias("_bound"),
+                                               F.lit(bound["_times"]).cast("bigint").alias("_times"))
 
     # Where a bound falls between copies of one row, some of the copies are in.
     split = rows.join(_renamed(ties, strata, "_b"),

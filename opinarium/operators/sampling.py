@@ -25,6 +25,8 @@ CELL_DIGITS = 3
 HASH_DIGITS = 32
 # Rows of a cell, over all strata, that one task may order.
 CELL_ROWS = 65_536
+# Without strata, the first hashes of a sample up to this size are taken in one pass.
+SMALL_SAMPLE = 100
 _EXPLODE_STEP = 65_536
 # Sorts after every hex digit.
 AFTER_ALL = "~"
@@ -193,6 +195,17 @@ def _bounds(rows: DataFrame, strata: Sequence[str], n: int) -> DataFrame:
         F.min("_bound").alias("_bound"), F.min_by("_times", "_bound").alias("_times"))
 
 
+def _one_bound(rows: DataFrame, n: int) -> tuple[str, int]:
+    """The bound of a sample without strata, and how many rows with exactly this hash are still in."""
+    if n > SMALL_SAMPLE:
+        bound = _bounds(rows, (), n).first()
+        return (bound["_bound"], bound["_times"]) if bound else (AFTER_ALL, 0)
+    first = [r["_hash"] for r in rows.select("_hash").orderBy("_hash").limit(n + 1).collect()]
+    if len(first) <= n:
+        return AFTER_ALL, 0
+    return first[n], first[:n].count(first[n])
+
+
 def _repeat(df: DataFrame, times: str) -> DataFrame:
     """Each row as often as its ``times`` column says, in steps that keep arrays short."""
     last = F.floor((F.col(times) - 1) / _EXPLODE_STEP)
@@ -215,9 +228,8 @@ def exact_sample(df: DataFrame, n: int, strata: Sequence[str] = (), seed: int =
     """
     columns = df.columns
     rows = df.withColumn("_hash", order_hash(df, seed, key))
-    bounds = _bounds(rows, strata, n)
     if strata:
-        bounds = stored(bounds, "sample-bounds")
+        bounds = stored(_bounds(rows, strata, n), "sample-bounds")
         bounded = rows.join(_renamed(bounds, strata, "_b"), _same_stratum(strata, "_b"))
         sure = bounded.filter(F.col("_hash") < F.col("_bound")).select(*columns)
         ties = bounds.filter(F.col("_times") > 0)
@@ -225,14 +237,12 @@ def exact_sample(df: DataFrame, n: int, strata: Sequence[str] = (), seed: int =
             return sure
     else:
         # One bound for all rows is a value in the filter; the copies at it are in the same row.
-        bound = bounds.first()
-        if bound is None:
-            return df.select(*columns)
-        sure = rows.filter(F.col("_hash") < bound["_bound"]).select(*columns)
-        if not bound["_times"]:
+        bound, times = _one_bound(rows, n)
+        sure = rows.filter(F.col("_hash") < bound).select(*columns)
+        if not times:
             return sure
-        ties = df.sparkSession.range(1).select(F.lit(bound["_bound"]).alias("_bound"),
-                                               F.lit(bound["_times"]).cast("bigint").alias("_times"))
+        ties = df.sparkSession.range(1).select(F.lit(bound).alias("_bound"),
+                                               F.lit(times).cast("bigint").alias("_times"))
 
     # Where a bound falls between copies of one row, some of the copies are in.
     split = rows.join(_renamed(ties, strata, "_b"),
@@ -246,7 +256,7 @@ def exact_sample(df: DataFrame, n: int, strata: Sequence[str] = (), seed: int =
 
 def random_sample(df: DataFrame, n: int, seed: int = DEFAULT_SEED,
                   key: Sequence[str] | None = None) -> DataFrame:
-    """The first ``min(n, rows)`` rows of a seeded random order; one method for every ``n``."""
+    """The first ``min(n, rows)`` rows of a seeded random order."""
     return exact_sample(df, n, (), seed, key)
 
 

@@ -14,6 +14,8 @@ def small_cells(request, monkeypatch):
     """Cells of one digit, cut until they hold a row or a few."""
     monkeypatch.setattr(s, "CELL_DIGITS", 1)
     monkeypatch.setattr(s, "CELL_ROWS", request.param)
+    if not request.param:
+        monkeypatch.setattr(s, "SMALL_SAMPLE", -1)
 
 
 @pytest.mark.parametrize("count, strata, n, nulls, hot", [

@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir), where docs are the rows its predecessor kept, and returns
 a DataFrame that is written as Parquet and read again as the next stage's docs.
+
+Null and empty texts, and texts without letters, go in the first stage, as do long texts without a
+certain language; short texts stay. Rows that repeat a text leave one, the largest by id (null is the
+smallest id) and then by the other columns; of near copies the smallest id stays (null is the largest).
+Further columns, whatever their names, pass all stages but the last as they were. Texts of any length
+are read whole. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +20,7 @@ from opinarium.session import stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a certain language go. Profiles are fitted on the declared languages."""
+    """Long documents without a certain language go, and those without letters. Profiles are fitted on the declared languages."""
     return langid.readable_documents(docs, langid.train(docs))
 
 

@@ -249,8 +249,8 @@ def deduplicate(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Streams the documents as raw reviews; every third one was processed before."""
     documents = fx.table(spark, sf, "documents")
-    stream = (spark.readStream.schema(documents.schema)
-              .option("pathGlobFilter", "documents.parquet").parquet(sf))
+    # The table may be a file or a folder of files. A stream takes a single file by a pattern only.
+    stream = spark.readStream.schema(documents.schema).parquet(f"{sf}/{{documents.parquet}}")
     processed = fx.raw_reviews_of(documents).filter(F.col("review_id").cast("bigint") % 3 == 0)
     folder = working_folder(spark, "incremental")
     out = add_new_reviews(fx.raw_reviews_of(stream), f"{folder}/reviews", f"{folder}/progress",

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opinarium import registry
 from opinarium.streaming.incremental import add_new_reviews, drop_recent_repeats
 
 SCHEMA = "review_id string, review_text string"
@@ -72,3 +73,11 @@ def test_another_run_adds_and_replaces_nothing(spark, tmp_path):
         out = add_new_reviews(stream(spark, str(tmp_path / name)), target, str(tmp_path / f"progress-{name}"))
     assert sorted((r["review_id"], r["review_text"]) for r in out.collect()) == [
         ("1", "a"), ("2", "a"), ("3", "a"), ("7", "b"), ("8", "b")]
+
+
+def test_documents_stream_from_a_file_or_a_folder_of_files(spark, tmp_path):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    documents.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    one, many = (registry.incremental_stream(spark, sf).drop("run", "batch_id").collect()
+                 for sf in ("/root/testdata/sf0.001", str(tmp_path)))
+    assert len(many) > 0 and sorted(many) == sorted(one)

@@ -21,9 +21,17 @@ def distinct_ids(df: DataFrame, key: str = "review_id") -> DataFrame:
     return df.select(id_key(F.col(key)).alias(_ID)).distinct()
 
 
-def _against(df: DataFrame, others: DataFrame, key: str, how: str) -> DataFrame:
-    match = id_key(F.col(key)) == F.col(_ID)
-    return df.join(distinct_ids(others, key), match, how)
+def _against(df: DataFrame, others: DataFrame, key: str, how: str, hashed: bool = False) -> DataFrame:
+    """A semi or anti join on the id. The key is a column of its own, as an expression would be
+    worked out again in every comparison of the sort.
+
+    With ``hashed`` a task holds a table of its distinct ids, and the rows of ``df``, of which an id
+    may have many, stream past it: nothing of theirs is sorted or kept.
+    """
+    ids = distinct_ids(others, key)
+    if hashed:
+        ids = ids.hint("shuffle_hash")
+    return df.withColumn(_ID, id_key(F.col(key))).join(ids, _ID, how).select(*df.columns)
 
 
 def pending_reviews(reviews: DataFrame, processed: DataFrame,
@@ -62,4 +70,4 @@ def first_per_key(df: DataFrame, key: Sequence[str],
 def remove_reviews(reviews: DataFrame, aspects: DataFrame, ids: DataFrame,
                    key: str = "review_id") -> tuple[DataFrame, DataFrame]:
     """Both tables without the given reviews: a delete that cascades to the aspects."""
-    return (_against(reviews, ids, key, "left_anti"), _against(aspects, ids, key, "left_anti"))
+    return (_against(reviews, ids, key, "left_anti", hashed=True), _against(aspects, ids, key, "left_anti", hashed=True))

@@ -263,13 +263,18 @@ def indexed_stream(spark: SparkSession, sf: str) -> DataFrame:
     once more in a run that lost its progress; ids are looked up in an index."""
     folder, raw = working_folder(spark, "indexed"), fx.raw_reviews(spark, sf)
     number = F.col("review_id").cast("bigint")
+    index = IdIndex(f"{folder}/index", INDEX_BUCKETS)
+
+    def add(run: str) -> DataFrame:
+        stream = spark.readStream.schema(raw.schema).parquet(f"{folder}/arrived")
+        return add_new_reviews(stream, f"{folder}/reviews", f"{folder}/{run}", cleaning.clean_reviews, index=index)
+
+    # An arrival is a batch, of however many files it is made.
     for arrival in range(3):
         part = (number % 3 == arrival) | (number % 3 < arrival) & (number % 5 == 0)
         raw.filter(part).write.mode("append").parquet(f"{folder}/arrived")
-    index = IdIndex(f"{folder}/index", INDEX_BUCKETS)
-    for run, files in (("first", 1), ("again", 1000)):
-        stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/arrived")
-        out = add_new_reviews(stream, f"{folder}/reviews", f"{folder}/{run}", cleaning.clean_reviews, index=index)
+        add("first")
+    out = add("again")
     return out.select("review_id", "product_id", "brand_name", "review_text", "review_rating")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from opinarium import registry
 from opinarium.streaming.id_index import IdIndex, filter_bits, may_hold
 from opinarium.streaming.incremental import add_new_reviews
 
@@ -106,3 +107,13 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     (commits / "2").unlink()
     (commits / ".2.crc").unlink(missing_ok=True)
     assert run() == before and len(before) == 18
+
+
+def test_an_arrival_is_one_batch_of_any_number_of_files(spark, tmp_path, monkeypatch):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    documents.repartition(4).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    monkeypatch.setattr(registry, "working_folder", lambda spark, purpose: str(tmp_path / purpose))
+    many = registry.indexed_stream(spark, str(tmp_path / "in")).collect()
+    assert len(list((tmp_path / "indexed" / "reviews").glob("run=*/batch_id=*"))) == 4
+    monkeypatch.undo()
+    assert len(many) > 0 and sorted(many) == sorted(registry.indexed_stream(spark, "/root/testdata/sf0.001").collect())

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from opinarium.functions.text import id_key
 
-_ID = "_id_key"
+#: The column of stripped ids.
+ID_KEY = "_id_key"
 
 
 def distinct_ids(df: DataFrame, key: str = "review_id") -> DataFrame:
-    return df.select(id_key(F.col(key)).alias(_ID)).distinct()
+    return df.select(id_key(F.col(key)).alias(ID_KEY)).distinct()
 
 
 def _against(df: DataFrame, others: DataFrame, key: str, how: str, hashed: bool = False) -> DataFrame:
@@ -31,26 +32,26 @@ def _against(df: DataFrame, others: DataFrame, key: str, how: str, hashed: bool
     ids = distinct_ids(others, key)
     if hashed:
         ids = ids.hint("shuffle_hash")
-    return df.withColumn(_ID, id_key(F.col(key))).join(ids, _ID, how).select(*df.columns)
+    return df.withColumn(ID_KEY, id_key(F.col(key))).join(ids, ID_KEY, how).select(*df.columns)
 
 
 def pending_reviews(reviews: DataFrame, processed: DataFrame,
-                    key: str = "review_id") -> DataFrame:
+                    key: str = "review_id", hashed: bool = False) -> DataFrame:
     """Reviews whose id is not among the processed ones. A review without id is pending."""
-    return _against(reviews, processed, key, "left_anti")
+    return _against(reviews, processed, key, "left_anti", hashed)
 
 
 def known_aspects(aspects: DataFrame, processed: DataFrame,
-                  key: str = "review_id") -> DataFrame:
+                  key: str = "review_id", hashed: bool = False) -> DataFrame:
     """Aspect rows whose review is among the processed ones."""
-    return _against(aspects, processed, key, "left_semi")
+    return _against(aspects, processed, key, "left_semi", hashed)
 
 
 def resume_counts(reviews: DataFrame, processed: DataFrame,
                   key: str = "review_id") -> DataFrame:
     """Reviews requested, already done and remaining, in one pass."""
     done = distinct_ids(processed, key).withColumn("_done", F.lit(1))
-    marked = reviews.select(id_key(F.col(key)).alias(_ID)).join(done, _ID, "left")
+    marked = reviews.select(id_key(F.col(key)).alias(ID_KEY)).join(done, ID_KEY, "left")
     counts = marked.agg(F.count(F.lit(1)).alias("requested"),
                         F.count("_done").alias("already_done"))
     return counts.withColumn("remaining", F.col("requested") - F.col("already_done"))

@@ -1,7 +1,8 @@
 """Counts per product and aspect that follow loads and deletes without a second look at the rest.
 
 Counts are sums, so those of parts of the tables add up, and what went is added with its sign
-turned. A change costs as much as the rows that changed, plus one aggregation over the counts.
+turned. A change costs as much as the rows that changed: its counts may lie beside those before, and
+the report sums them, so reading costs one aggregation over the counts.
 """
 
 from __future__ import annotations
@@ -19,9 +20,12 @@ COUNTS = ["total_mentions", *(f"{s}_mentions" for s in ASPECT_SENTIMENTS)]
 
 
 def mention_counts(reviews: DataFrame, aspects: DataFrame) -> DataFrame:
-    """Mentions per product and aspect, all of them and by sentiment."""
+    """Mentions per product and aspect, all of them and by sentiment.
+
+    A task holds its reviews in a table and the mentions stream past it unsorted.
+    """
     mentions = aspects.select("review_id", "aspect", "aspect_sentiment").join(
-        reviews.select("review_id", *KEYS[:-1]), "review_id")
+        reviews.select("review_id", *KEYS[:-1]).hint("shuffle_hash"), "review_id")
     return mentions.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias(COUNTS[0]),
         *[F.count_if(F.col("aspect_sentiment") == s).alias(c) for s, c in zip(ASPECT_SENTIMENTS, COUNTS[1:])])
@@ -45,5 +49,5 @@ def changed_counts(counts: DataFrame, *changes: DataFrame) -> DataFrame:
 
 
 def summary_of(counts: DataFrame) -> DataFrame:
-    """The report over the counts, with the share of negative mentions."""
-    return counts.select(*KEYS, *COUNTS, pct(F.col("negative_mentions"), F.col("total_mentions")).alias("negative_rate_pct"))
+    """The report over the counts, which may be in parts, with the share of negative mentions."""
+    return changed_counts(counts).select(*KEYS, *COUNTS, pct(F.col("negative_mentions"), F.col("total_mentions")).alias("negative_rate_pct"))

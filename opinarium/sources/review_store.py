@@ -1,25 +1,28 @@
 """Reviews, their aspects and the summary over both, published as one version.
 
 A load or a delete computes the next pair of tables from the current version. The summary is not
-computed again: the counts of what came are added to it and the counts of what went are taken off.
+computed again: the counts of what came, and those of what went with their signs turned, lie beside
+the others as parts. ``summary_of`` sums the parts and refuses sums that cannot be.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from opinarium.operators.resume import first_per_key, known_aspects, pending_reviews, remove_reviews
-from opinarium.operators.summary import changed_counts, mention_counts, retracted
+from opinarium.operators.integrity import aspect_rules, review_rules
+from opinarium.operators.resume import ID_KEY, distinct_ids, first_per_key, known_aspects, pending_reviews, remove_reviews
+from opinarium.operators.summary import KEYS, changed_counts, mention_counts, retracted
 from opinarium.schemas import REVIEW_ASPECTS, REVIEWS
-from opinarium.session import stored
+from opinarium.session import removed, stored_at
 from opinarium.sources.files import conform
 from opinarium.sources.snapshots import NoSnapshot, Snapshot, publish, snapshot
-from opinarium.sources.tables import assert_loadable, with_aspect_id
+from opinarium.sources.tables import assert_no_orphans, nulls_counted, with_aspect_id
 
-#: A load that meets so many parts writes them anew as one.
+#: A load that meets so many parts writes them anew as one; so does any change with those of the counts.
 MOST_PARTS = 32
 REVIEWS_TABLE, ASPECTS_TABLE, COUNTS_TABLE = "reviews", "review_aspects", "mention_counts"
 
@@ -31,31 +34,71 @@ def _current(spark: SparkSession, root: str) -> Snapshot | None:
         return None
 
 
+def _counts(spark: SparkSession, now: Snapshot | None, change: DataFrame) -> DataFrame:
+    """The counts that a change writes: its own, or if their parts are many all of them as one."""
+    return change if not now or _carried_counts(now) else changed_counts(now.table(spark, COUNTS_TABLE), change)
+
+
+def _carried_counts(now: Snapshot | None) -> dict[str, int]:
+    """The parts of counts that go on beside those of a change."""
+    parts = now.parts[COUNTS_TABLE] if now else {}
+    return parts if len(parts) < MOST_PARTS else {}
+
+
 def load(spark: SparkSession, root: str, reviews: DataFrame, aspects: DataFrame,
          order: Sequence[Column | str] = ()) -> Snapshot:
     """Adds reviews that are not there yet, with their aspects; of a repeated id the first row by
     ``order`` counts. Aspects of reviews that are there already do not come in again; an aspect
     without a review at all fails the load, and nothing changes. What was there is not written again,
     unless a table has ``MOST_PARTS``.
+
+    Rows are written once, where they are published. Orphans are looked for by id before any aspect
+    is numbered; then the aspects that come in are those of the new reviews. In a first load those
+    must be all, so counting them is enough.
     """
     now = _current(spark, root)
-    fresh = conform(first_per_key(reviews, ["review_id"], order), REVIEWS)
-    mentions = conform(with_aspect_id(aspects), REVIEW_ASPECTS)
-    if now:
-        ids = now.table(spark, REVIEWS_TABLE)
-        fresh, mentions = pending_reviews(fresh, ids), pending_reviews(mentions, ids)
-    fresh, mentions = stored(fresh, "fresh-reviews"), stored(mentions, "fresh-aspects")
-    assert_loadable(fresh, mentions)
-    counts, carried = mention_counts(fresh, mentions), {}
-    if now:
-        counts = changed_counts(now.table(spark, COUNTS_TABLE), counts)
-        if len(now.parts[REVIEWS_TABLE]) < MOST_PARTS:
-            carried = {t: now.parts[t] for t in (REVIEWS_TABLE, ASPECTS_TABLE)}
-        else:
-            fresh, mentions = (now.table(spark, t).unionByName(more) for t, more in (
-                (REVIEWS_TABLE, fresh), (ASPECTS_TABLE, mentions)))
-    tables = {REVIEWS_TABLE: fresh, ASPECTS_TABLE: mentions, COUNTS_TABLE: counts}
-    return publish(spark, root, tables, carried, based_on=now.version if now else 0)
+    known = now.table(spark, REVIEWS_TABLE) if now else None
+    # Known ids go first: of a load that was there before nothing is put in order.
+    pending = pending_reviews(reviews, known, hashed=True) if now else reviews
+    fresh, check_fresh = nulls_counted(REVIEWS_TABLE, conform(first_per_key(pending, ["review_id"], order), REVIEWS),
+                                       review_rules())
+    met, checks = Observation(), []
+    watched = aspects if now else aspects.observe(met, F.count(F.lit(1)).alias("rows"))
+    mentions = conform(with_aspect_id(watched), REVIEW_ASPECTS)
+
+    def own_mentions(new: DataFrame) -> DataFrame:
+        check_fresh()
+        if now:
+            assert_no_orphans(aspects, new, known)
+        own, check = nulls_counted(ASPECTS_TABLE, mentions.join(
+            new.select("review_id").hint("shuffle_hash"), "review_id", "left_semi"), aspect_rules())
+        checks.append(check)
+        return own
+
+    def counts(new: DataFrame, own: DataFrame) -> DataFrame:
+        checks[0]()
+        if not now:
+            came = own.count()
+            # Without a row the plan may have been cut short, and a task that ran twice counts twice.
+            if not came or met.get.get("rows") != came:
+                assert_no_orphans(aspects, new)
+        return _counts(spark, now, mention_counts(new, own))
+
+    if now and len(now.parts[REVIEWS_TABLE]) >= MOST_PARTS:
+        new, new_folder = stored_at(fresh, "fresh-reviews")
+        own, own_folder = stored_at(own_mentions(new), "fresh-aspects")
+        made = publish(spark, root, {
+            REVIEWS_TABLE: known.unionByName(new), ASPECTS_TABLE: now.table(spark, ASPECTS_TABLE).unionByName(own),
+            COUNTS_TABLE: counts(new, own)}, {COUNTS_TABLE: _carried_counts(now)}, based_on=now.version)
+        removed(spark, new_folder)
+        removed(spark, own_folder)
+        return made
+    carried = {t: now.parts[t] for t in (REVIEWS_TABLE, ASPECTS_TABLE)} if now else {}
+    return publish(spark, root, {
+        REVIEWS_TABLE: fresh,
+        ASPECTS_TABLE: lambda written: own_mentions(written[REVIEWS_TABLE]),
+        COUNTS_TABLE: lambda written: counts(written[REVIEWS_TABLE], written[ASPECTS_TABLE]),
+    }, {**carried, COUNTS_TABLE: _carried_counts(now)}, based_on=now.version if now else 0)
 
 
 def delete(spark: SparkSession, root: str, ids: DataFrame) -> Snapshot:
@@ -65,13 +108,20 @@ def delete(spark: SparkSession, root: str, ids: DataFrame) -> Snapshot:
     parts of the same name.
     """
     now = snapshot(spark, root)
-    part = F.regexp_extract("_metadata.file_path", "/data/([^/]+)/", 1).alias("part")
-    holding = known_aspects(now.table(spark, REVIEWS_TABLE).select("review_id", part), ids)
-    hit = {r["part"] for r in holding.select("part").distinct().collect()}  # at most MOST_PARTS
+    ids, ids_folder = stored_at(distinct_ids(ids).withColumnsRenamed({ID_KEY: "review_id"}), "deleted-ids")
+    every = [now.table(spark, REVIEWS_TABLE, [p]).select("review_id", *KEYS[:-1], F.lit(p).alias("part"))
+             for p in now.parts[REVIEWS_TABLE]]
+    # The reviews that go, with the columns that their aspects are counted by.
+    gone, gone_folder = stored_at(known_aspects(reduce(DataFrame.unionByName, every), ids, hashed=True), "deleted-reviews")
+    hit = {r["part"] for r in gone.select("part").distinct().collect()}  # at most MOST_PARTS
     reviews, aspects = (now.table(spark, t, hit) for t in (REVIEWS_TABLE, ASPECTS_TABLE))
     left, left_aspects = remove_reviews(reviews, aspects, ids)
-    gone = mention_counts(known_aspects(reviews, ids), known_aspects(aspects, ids))
-    counts = changed_counts(now.table(spark, COUNTS_TABLE), retracted(gone))
+    # Aspects have the id of a review as it stands there, so those of the reviews that go are all that go.
+    counts = _counts(spark, now, retracted(mention_counts(gone, aspects)))
     tables = {REVIEWS_TABLE: left, ASPECTS_TABLE: left_aspects, COUNTS_TABLE: counts}
     carried = {t: {p: n for p, n in now.parts[t].items() if p not in hit} for t in (REVIEWS_TABLE, ASPECTS_TABLE)}
-    return publish(spark, root, tables, carried, based_on=now.version)
+    carried[COUNTS_TABLE] = _carried_counts(now)
+    made = publish(spark, root, tables, carried, based_on=now.version)
+    removed(spark, ids_folder)
+    removed(spark, gone_folder)
+    return made

@@ -75,13 +75,15 @@ def snapshot(spark: SparkSession, root: str, version: int | None = None) -> Snap
     return Snapshot(number, root, found["parts"], found["schemas"])
 
 
-def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
+def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame | Callable[[dict[str, DataFrame]], DataFrame]],
             carried: Mapping[str, Mapping[str, int]] | None = None,
             check: Callable[[dict[str, DataFrame]], None] | None = None, keep: int = KEPT_VERSIONS,
             based_on: int | None = None) -> Snapshot:
     """Writes the tables as a part of the next version and makes that the current one.
 
-    ``carried`` lists parts of earlier versions that the tables go on with. ``check`` gets the new
+    A table may be given as a function: it gets the new part's tables written before it, in the
+    order of the mapping, and what it raises ends the publication. So a table that follows from
+    others is computed from what is published, which needs no copy of its own. ``carried`` lists parts of earlier versions that the tables go on with. ``check`` gets the new
     part's tables as written and raises if they must not be published. Rows are counted while they
     are written. ``based_on`` is the version that the tables were computed from (0 for none), by
     default the current one; if another one was published meanwhile, nothing changes.
@@ -92,15 +94,15 @@ def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame],
     if base != current:
         raise ConcurrentPublication(f"version {current} of {root} was published after {base}")
     part = f"{base + 1:010d}-{uuid.uuid4().hex}"
-    rows = {}
-    for name, df in tables.items():
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/data/{part}/{name}")
-        rows[name] = seen.get["rows"]
-    schemas = {n: df.schema.json() for n, df in tables.items()}
+    rows, schemas, written = {}, {}, {}
+    for name, given in tables.items():
+        df = given if isinstance(given, DataFrame) else given(dict(written))
+        seen, path = Observation(), f"{root}/data/{part}/{name}"
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        rows[name], schemas[name] = seen.get["rows"], df.schema.json()
+        written[name] = spark.read.schema(df.schema).parquet(path)
     if check:
-        new = Snapshot(base + 1, root, {n: {part: r} for n, r in rows.items()}, schemas)
-        check({name: new.table(spark, name) for name in tables})
+        check(written)
     made = Snapshot(base + 1, root, {n: {**(carried or {}).get(n, {}), part: r} for n, r in rows.items()}, schemas)
     _commit(spark, made)
     expire(spark, root, keep)
@@ -121,18 +123,28 @@ def _commit(spark: SparkSession, made: Snapshot) -> None:
 
 
 def expire(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> list[int]:
-    """Removes all but the last ``keep`` versions and the parts that no version lists; returns the
-    versions that went. A part above the current version may be in the making and stays."""
+    """Removes all but the last ``keep`` versions and the parts that no version lists, also those of
+    one table of a part; returns the versions that went. A part above the current version may be in the making and stays."""
     known = versions(spark, root)
     gone, kept = known[:-keep], known[-keep:]
     for version in gone:
         files, path = _files(spark, f"{root}/{_MANIFESTS}/{version:010d}.json")
         files.delete(path, False)
     if kept:
-        named = {p for v in kept for parts in snapshot(spark, root, v).parts.values() for p in parts}
+        named: dict[str, set[str]] = {}
+        for version in kept:
+            for table, parts in snapshot(spark, root, version).parts.items():
+                for part in parts:
+                    named.setdefault(part, set()).add(table)
         files, data = _files(spark, f"{root}/data")
         for status in files.listStatus(data):
-            name = status.getPath().getName()
-            if name not in named and int(name.split("-")[0]) <= kept[-1]:
-                files.delete(status.getPath(), True)
+            part = status.getPath()
+            if int(part.getName().split("-")[0]) > kept[-1]:
+                continue
+            if part.getName() not in named:
+                files.delete(part, True)
+                continue
+            for table in files.listStatus(part):
+                if table.getPath().getName() not in named[part.getName()]:
+                    files.delete(table.getPath(), True)
     return gone

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opinarium.operators import integrity
 from opinarium.operators.numbering import dense_numbers
-from opinarium.operators.resume import first_per_key
+from opinarium.operators.resume import first_per_key, pending_reviews
 from opinarium.schemas import REVIEW_ASPECTS, REVIEWS
 from opinarium.session import removed, stored, stored_at
 from opinarium.sources.files import conform
 
 
+REVIEW_IDS = T.StructType([REVIEW_ASPECTS["review_id"]])
+
+
 class IntegrityError(ValueError):
     """The tables break a rule that their consumers rely on."""
 
@@ -57,6 +61,37 @@ def assert_loadable(reviews: DataFrame, aspects: DataFrame) -> None:
         raise IntegrityError(f"{orphans} aspect rows without a review")
 
 
+def nulls_counted(name: str, df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> tuple[DataFrame, Callable[[], None]]:
+    """The table, and a check for after its write that raises if a required column had nulls.
+
+    The nulls are counted while the rows are written, so the check reads nothing.
+    """
+    seen, broken = Observation(), {c: b for c, rule, b in rules if rule == "not_null"}
+
+    def check() -> None:
+        for column, nulls in seen.get.items():
+            if nulls:
+                raise IntegrityError(f"{nulls} nulls in {name}.{column}")
+
+    return df.observe(seen, *[F.count_if(b).alias(c) for c, b in broken.items()]), check
+
+
+def assert_no_orphans(aspects: DataFrame, reviews: DataFrame, known: DataFrame | None = None) -> None:
+    """Raises if an aspect has no id, or a review neither in ``reviews`` nor, by its stripped id, in
+    ``known``. Aspects are counted by id before anything is shuffled."""
+    ids = conform(aspects.select("review_id"), REVIEW_IDS).groupBy("review_id").agg(F.count(F.lit(1)).alias("_rows"))
+    lost = ids.join(reviews.select("review_id").hint("shuffle_hash"), "review_id", "left_anti")
+    if known is not None:
+        lost = pending_reviews(lost, known, hashed=True)
+    nameless = F.col("review_id").isNull()
+    found = lost.agg(*[F.coalesce(F.sum(F.when(which, F.col("_rows"))), F.lit(0)).alias(name)
+                       for name, which in (("nulls", nameless), ("orphans", ~nameless))]).first()
+    if found["nulls"]:
+        raise IntegrityError(f"{found['nulls']} nulls in review_aspects.review_id")
+    if found["orphans"]:
+        raise IntegrityError(f"{found['orphans']} aspect rows without a review")
+
+
 def _save(df: DataFrame, name: str, buckets: int | None) -> None:
     writer = df.write.mode("overwrite").format("parquet")
     if buckets:

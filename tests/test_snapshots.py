@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from opinarium.operators import summary
@@ -135,3 +137,47 @@ def test_retracting_twice_is_refused(spark):
     assert summary.changed_counts(counts, gone).count() == 0
     with pytest.raises(Exception, match="more mentions retracted"):
         summary.changed_counts(counts, gone, gone).collect()
+
+
+def test_deleted_rows_leave_the_disk_though_their_counts_stay(spark, tmp_path):
+    root = str(tmp_path)
+    first = store.load(spark, root, reviews(spark, range(4)), aspects(spark, range(4)))
+    (part,) = first.parts["reviews"]
+    for i in range(3):
+        store.delete(spark, root, spark.createDataFrame([(str(i),)], "review_id string"))
+    assert sorted(p.name for p in (tmp_path / "data" / part).iterdir()) == ["mention_counts"]
+
+
+@pytest.mark.parametrize("before", [False, True])
+def test_aspects_without_any_review_fail_the_load(spark, tmp_path, before):
+    root = str(tmp_path)
+    if before:
+        store.load(spark, root, reviews(spark, [1]), aspects(spark, [1]))
+    with pytest.raises(IntegrityError, match="2 aspect rows without a review"):
+        store.load(spark, root, reviews(spark, []), aspects(spark, [2]))
+    nameless = aspects(spark, [1]).selectExpr("cast(null as string) as review_id", "pos", "aspect", "aspect_sentiment")
+    with pytest.raises(IntegrityError, match="2 nulls in review_aspects.review_id"):
+        store.load(spark, root, reviews(spark, [1]), nameless)
+
+
+def test_only_rows_that_come_in_are_checked(spark, tmp_path):
+    root = str(tmp_path)
+    store.load(spark, root, reviews(spark, [1]), aspects(spark, [1]))
+    empty = aspects(spark, [1, 2]).selectExpr("review_id", "pos", "if(review_id = '1', null, aspect) as aspect", "aspect_sentiment")
+    store.load(spark, root, reviews(spark, [1, 2]), empty)
+    assert content(spark, root) == (["1", "2"], ["1", "1", "2", "2"])
+    with pytest.raises(IntegrityError, match="nulls in review_aspects.aspect$"):
+        store.load(spark, root, reviews(spark, [3]), aspects(spark, [3]).selectExpr("review_id", "pos", "cast(null as string) as aspect", "aspect_sentiment"))
+    padded = aspects(spark, [1]).selectExpr("concat(' ', review_id) as review_id", "pos", "aspect", "aspect_sentiment")
+    assert store.load(spark, root, reviews(spark, []), padded).rows("review_aspects") == 4
+
+
+def test_rows_are_written_once_where_they_are_published(spark, tmp_path):
+    working = Path(spark.conf.get("spark.checkpoint.dir"))
+    working.mkdir(exist_ok=True)
+    before, root = set(working.iterdir()), str(tmp_path)
+    store.load(spark, root, reviews(spark, range(9)), aspects(spark, range(9)))
+    again = reviews(spark, [20] * 1000 + list(range(9)))
+    assert store.load(spark, root, again, aspects(spark, [20])).rows("reviews") == 10
+    store.delete(spark, root, spark.createDataFrame([("20",)], "review_id string"))
+    assert set(working.iterdir()) == before

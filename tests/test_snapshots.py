@@ -139,6 +139,28 @@ def test_retracting_twice_is_refused(spark):
         summary.changed_counts(counts, gone, gone).collect()
 
 
+def test_a_load_writes_its_rows_and_counts_only(spark, tmp_path):
+    root = str(tmp_path / "store")
+    first = store.load(spark, root, reviews(spark, range(4)), aspects(spark, range(4)))
+    second = store.load(spark, root, reviews(spark, range(2, 6)), aspects(spark, range(2, 6), "positive"))
+    # The counts of the first load go on as they are; the report sums the parts.
+    assert set(first.parts["mention_counts"]) < set(second.parts["mention_counts"])
+    now = snapshot(spark, root)
+    report = summary.summary_of(now.table(spark, "mention_counts"))
+    whole = product_aspect_summary(*(now.table(spark, t) for t in ("reviews", "review_aspects")))
+    assert sorted(map(tuple, report.select(*whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_counts_of_many_changes_become_one_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "MOST_PARTS", 3)
+    root = str(tmp_path)
+    store.load(spark, root, reviews(spark, range(9)), aspects(spark, range(9)))
+    for i in range(3):
+        last = store.delete(spark, root, spark.createDataFrame([(str(i),)], "review_id string"))
+    assert len(last.parts["mention_counts"]) == 1
+    assert summary.summary_of(last.table(spark, "mention_counts")).selectExpr("sum(total_mentions)").first()[0] == 12
+
+
 def test_deleted_rows_leave_the_disk_though_their_counts_stay(spark, tmp_path):
     root = str(tmp_path)
     first = store.load(spark, root, reviews(spark, range(4)), aspects(spark, range(4)))

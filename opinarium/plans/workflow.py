@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ from opinarium.sources.tables import TableNames, save_summary, save_tables
 
 #: Reviews that one task works through before its round is stored.
 ROUND_ROWS_PER_TASK = 1000
+#: Where calls are so quick that a round takes less time, several are worked through together.
+ROUND_SECONDS = 60.0
 
 
 def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory, method: str,
@@ -37,8 +40,10 @@ def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory,
     """Extracts the reviews that have no answer yet and appends the answers to a table.
 
     The work is done in rounds of about ``checkpoint_rows`` reviews, by default
-    ``ROUND_ROWS_PER_TASK`` for each of ``tasks``; a finished round is never repeated. The rows
-    of a round are dealt over ``tasks`` tasks, by default as many as the cluster runs side by
+    ``ROUND_ROWS_PER_TASK`` for each of ``tasks``; a finished round is never repeated. Without
+    ``checkpoint_rows`` rounds that end early are taken together, twice as many each time while
+    they take no more than about ``ROUND_SECONDS``, so that quick calls do not wait for the start
+    of jobs, and a lost run loses minutes at most or one round. The rows of a round are dealt over ``tasks`` tasks, by default as many as the cluster runs side by
     side. ``max_rate`` is the number of calls a second of the whole run, shared by the tasks;
     without it every task keeps the policy's pace. The policy must not be ``fail``, which
     would lose the answers of a round. An error ends the run after its round is stored, unless it
@@ -50,7 +55,7 @@ def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory,
         raise ValueError("a run in rounds stops at an error or rejects the review")
     spark = reviews.sparkSession
     tasks = tasks or spark.sparkContext.defaultParallelism
-    checkpoint_rows = checkpoint_rows or ROUND_ROWS_PER_TASK * tasks
+    fixed, checkpoint_rows = bool(checkpoint_rows), checkpoint_rows or ROUND_ROWS_PER_TASK * tasks
     if max_rate is not None:
         policy = policy.at_rate(max_rate, tasks)
     answers, pending = f"{path}/answers", f"{path}/pending"
@@ -66,11 +71,12 @@ def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory,
     todo = first_per_key(todo, ["review_id"], []).withColumn(
         "round", F.pmod(F.xxhash64("review_id"), F.lit(rounds)).cast("int"))
     # One file per round: a round is no larger than a checkpoint.
-    layout = todo.drop("round").schema
     todo.repartition("round").write.mode("overwrite").partitionBy("round").parquet(pending)
-    for number in range(rounds):
-        part = read_or_empty(spark, f"{pending}/round={number}", layout)
-        seen = Observation()
+    landed = read_or_empty(spark, pending, todo.schema)
+    first, together = 0, 1
+    while first < rounds:
+        part = landed.filter((F.col("round") >= first) & (F.col("round") < first + together)).drop("round")
+        seen, started = Observation(), time.monotonic()
         raw = ex.extract_reviews(part, factory, method, policy, tasks)
         raw = raw.observe(seen, F.count_if(F.col("error").isNotNull()).alias("failed"),
                           F.min("error").alias("example"))
@@ -78,6 +84,10 @@ def run_extraction(reviews: DataFrame, path: str, factory: ex.ExtractorFactory,
         if seen.get["failed"] and policy.on_error == ex.STOP:
             raise ex.ExtractionFailed(f"{seen.get['failed']} calls failed, for example: "
                                       f"{seen.get['example']}")
+        first += together
+        took = time.monotonic() - started
+        if not fixed:
+            together = together * 2 if 2 * took <= ROUND_SECONDS else max(1, together // 2) if took > ROUND_SECONDS else together
     return counts
 
 

@@ -270,3 +270,17 @@ def test_calls_of_a_round_come_from_all_tasks(spark, tmp_path):
     assert set(open(log).read().split()) == {"0", "1", "2", "3"}
     with pytest.raises(ValueError, match="rejects"):
         w.run_extraction(reviews, str(tmp_path / "out"), factory, "fixture", ex.CallPolicy(pace=0))
+
+
+@pytest.mark.parametrize("seconds, checkpoint, rounds", [(60.0, None, 4), (0.0, None, 10), (60.0, 10, 10)])
+def test_quick_rounds_are_taken_together(spark, tmp_path, monkeypatch, seconds, checkpoint, rounds):
+    monkeypatch.setattr(w, "ROUND_ROWS_PER_TASK", 5)
+    monkeypatch.setattr(w, "ROUND_SECONDS", seconds)
+    begun, extract = [], ex.extract_reviews
+    monkeypatch.setattr(w.ex, "extract_reviews", lambda *given: begun.append(1) or extract(*given))
+    path = str(tmp_path / "answers")
+    reviews = spark.range(100).select(F.col("id").cast("string").alias("review_id"), F.lit("t").alias("review_text"))
+    w.run_extraction(reviews, path, lambda: answering, "fixture", ex.CallPolicy(pace=0, on_error=ex.STOP), checkpoint, 2)
+    assert len(begun) == rounds
+    done = w.stored_answers(spark, path)
+    assert done.count() == done.select("review_id").distinct().count() == 100

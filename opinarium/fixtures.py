@@ -6,7 +6,9 @@ documents for raw review text. ``oracles.py`` states the same views in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What a line number and a return flag stand for.
@@ -54,11 +56,17 @@ def _text(column: str):
     return F.col(column).cast("string")
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _chosen(rows: DataFrame, key: str, chosen: Callable[[Column], Column] | None) -> DataFrame:
+    """Some rows by their review number, while it is a number; a condition on the id reads it out of
+    the text again, for every row of the table."""
+    return rows.filter(chosen(F.col(key))) if chosen else rows
+
+
+def reviews(spark: SparkSession, sf_dir: str, chosen: Callable[[Column], Column] | None = None) -> DataFrame:
     key = F.col("o_orderkey")
     total = F.col("o_totalprice")
     discount = ((key % 9 - 1).cast("double")) * F.lit(0.045)
-    joined = table(spark, sf_dir, "orders").join(
+    joined = _chosen(table(spark, sf_dir, "orders"), "o_orderkey", chosen).join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     return joined.select(
         _text("o_orderkey").alias("review_id"),
@@ -79,7 +87,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def review_aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_aspects(spark: SparkSession, sf_dir: str, chosen: Callable[[Column], Column] | None = None) -> DataFrame:
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     aspect = F.lit(OTHER_ASPECT)
     for number, name in ASPECT_OF_LINE.items():
@@ -87,7 +95,7 @@ def review_aspects(spark: SparkSession, sf_dir: str) -> DataFrame:
     sentiment = F.lit("negative")
     for value, name in SENTIMENT_OF_FLAG.items():
         sentiment = F.when(flag == value, name).otherwise(sentiment)
-    return table(spark, sf_dir, "lineitem").select(
+    return _chosen(table(spark, sf_dir, "lineitem"), "l_orderkey", chosen).select(
         _text("l_orderkey").alias("review_id"),
         aspect.alias("aspect"),
         sentiment.alias("aspect_sentiment"),
@@ -153,8 +161,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def checkpoint_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Padded ids of the reviews that count as processed."""
-    ids = reviews(spark, sf_dir).select("review_id")
-    done = ids.filter(F.col("review_id").cast("bigint") % 3 == 0)
+    done = reviews(spark, sf_dir, lambda number: number % 3 == 0)
     return done.select(F.concat(F.lit(" "), F.col("review_id"), F.lit(" ")).alias("review_id"))
 
 

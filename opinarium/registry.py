@@ -186,12 +186,10 @@ def multiline_csv(spark: SparkSession, sf: str) -> DataFrame:
 def _loaded_store(spark: SparkSession, sf: str) -> str:
     """Three loads, the later ones repeating a review of the earlier ones in five."""
     root = working_folder(spark, "store")
-    reviews, aspects = fx.reviews(spark, sf), fx.review_aspects(spark, sf)
-    number = F.col("review_id").cast("bigint")
     for batch in range(3):
-        # Each row of the tables works its number out once.
-        part = (number % 15).isin([n for n in range(15) if n % 3 == batch or n % 3 < batch and n % 5 == 0])
-        review_store.load(spark, root, reviews.filter(part), aspects.filter(part))
+        rests = [n for n in range(15) if n % 3 == batch or n % 3 < batch and n % 5 == 0]
+        part = [view(spark, sf, lambda number: (number % 15).isin(rests)) for view in (fx.reviews, fx.review_aspects)]
+        review_store.load(spark, root, *part)
     return root
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from opinarium.operators.integrity import aspect_rules, review_rules
-from opinarium.operators.resume import ID_KEY, distinct_ids, first_per_key, known_aspects, pending_reviews, remove_reviews
+from opinarium.functions.text import id_key
+from opinarium.operators.resume import ID_KEY, distinct_ids, first_pending, first_per_key
 from opinarium.operators.summary import KEYS, changed_counts, mention_counts, retracted
 from opinarium.schemas import REVIEW_ASPECTS, REVIEWS
 from opinarium.session import removed, stored_at
@@ -52,36 +53,35 @@ def load(spark: SparkSession, root: str, reviews: DataFrame, aspects: DataFrame,
     without a review at all fails the load, and nothing changes. What was there is not written again,
     unless a table has ``MOST_PARTS``.
 
-    Rows are written once, where they are published. Orphans are looked for by id before any aspect
-    is numbered; then the aspects that come in are those of the new reviews. In a first load those
-    must be all, so counting them is enough.
+    Rows are written once, where they are published. Aspects are read once: each is looked up among
+    the ids of the new reviews and those there before, and the ones in neither are counted as they
+    pass. Only if there are some are they looked for by stripped id.
     """
     now = _current(spark, root)
     known = now.table(spark, REVIEWS_TABLE) if now else None
     # Known ids go first: of a load that was there before nothing is put in order.
-    pending = pending_reviews(reviews, known, hashed=True) if now else reviews
-    fresh, check_fresh = nulls_counted(REVIEWS_TABLE, conform(first_per_key(pending, ["review_id"], order), REVIEWS),
-                                       review_rules())
+    first = first_pending(reviews, known, order) if now else first_per_key(reviews, ["review_id"], order)
+    fresh, check_fresh = nulls_counted(REVIEWS_TABLE, conform(first, REVIEWS), review_rules())
     met, checks = Observation(), []
-    watched = aspects if now else aspects.observe(met, F.count(F.lit(1)).alias("rows"))
-    mentions = conform(with_aspect_id(watched), REVIEW_ASPECTS)
 
     def own_mentions(new: DataFrame) -> DataFrame:
         check_fresh()
+        # No id is there twice, as it stands.
+        ids = new.select(F.col("review_id").alias("_of"), F.lit(True).alias("_own"))
         if now:
-            assert_no_orphans(aspects, new, known)
-        own, check = nulls_counted(ASPECTS_TABLE, mentions.join(
-            new.select("review_id").hint("shuffle_hash"), "review_id", "left_semi"), aspect_rules())
+            ids = ids.unionByName(known.select(F.col("review_id").alias("_of"), F.lit(False).alias("_own")))
+        met_ids = aspects.join(ids.hint("shuffle_hash"), F.col("review_id").try_cast("string") == F.col("_of"), "left")
+        watched = met_ids.observe(met, F.count_if(F.col("_own").isNull()).alias("unmet"))
+        mentions = with_aspect_id(watched.filter("_own").select(*aspects.columns))
+        own, check = nulls_counted(ASPECTS_TABLE, conform(mentions, REVIEW_ASPECTS), aspect_rules())
         checks.append(check)
         return own
 
     def counts(new: DataFrame, own: DataFrame) -> DataFrame:
+        # A plan that was cut short has no count.
+        if met.get.get("unmet") != 0:
+            assert_no_orphans(aspects, new, known)
         checks[0]()
-        if not now:
-            came = own.count()
-            # Without a row the plan may have been cut short, and a task that ran twice counts twice.
-            if not came or met.get.get("rows") != came:
-                assert_no_orphans(aspects, new)
         return _counts(spark, now, mention_counts(new, own))
 
     if now and len(now.parts[REVIEWS_TABLE]) >= MOST_PARTS:
@@ -108,20 +108,23 @@ def delete(spark: SparkSession, root: str, ids: DataFrame) -> Snapshot:
     parts of the same name.
     """
     now = snapshot(spark, root)
-    ids, ids_folder = stored_at(distinct_ids(ids).withColumnsRenamed({ID_KEY: "review_id"}), "deleted-ids")
-    every = [now.table(spark, REVIEWS_TABLE, [p]).select("review_id", *KEYS[:-1], F.lit(p).alias("part"))
-             for p in now.parts[REVIEWS_TABLE]]
-    # The reviews that go, with the columns that their aspects are counted by.
-    gone, gone_folder = stored_at(known_aspects(reduce(DataFrame.unionByName, every), ids, hashed=True), "deleted-reviews")
-    hit = {r["part"] for r in gone.select("part").distinct().collect()}  # at most MOST_PARTS
+    every = [now.table(spark, REVIEWS_TABLE, [p]).select(
+        id_key(F.col("review_id")).alias(ID_KEY), "review_id", *KEYS[:-1], F.lit(i).alias("part"))
+        for i, p in enumerate(now.parts[REVIEWS_TABLE])]
+    # The reviews that go, with the columns that their aspects are counted by. The ids are distinct,
+    # and other than a semi join this one is not made once for each part.
+    found = reduce(DataFrame.unionByName, every).join(distinct_ids(ids).hint("shuffle_hash"), ID_KEY)
+    gone, gone_folder = stored_at(found.drop(ID_KEY), "deleted-reviews")
+    places = {r["part"] for r in gone.select("part").distinct().collect()}  # at most MOST_PARTS
+    hit = {p for i, p in enumerate(now.parts[REVIEWS_TABLE]) if i in places}
     reviews, aspects = (now.table(spark, t, hit) for t in (REVIEWS_TABLE, ASPECTS_TABLE))
-    left, left_aspects = remove_reviews(reviews, aspects, ids)
     # Aspects have the id of a review as it stands there, so those of the reviews that go are all that go.
+    gone_ids = gone.select("review_id").hint("shuffle_hash")
+    left, left_aspects = (t.join(gone_ids, "review_id", "left_anti") for t in (reviews, aspects))
     counts = _counts(spark, now, retracted(mention_counts(gone, aspects)))
     tables = {REVIEWS_TABLE: left, ASPECTS_TABLE: left_aspects, COUNTS_TABLE: counts}
     carried = {t: {p: n for p, n in now.parts[t].items() if p not in hit} for t in (REVIEWS_TABLE, ASPECTS_TABLE)}
     carried[COUNTS_TABLE] = _carried_counts(now)
     made = publish(spark, root, tables, carried, based_on=now.version)
-    removed(spark, ids_folder)
     removed(spark, gone_folder)
     return made

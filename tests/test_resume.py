@@ -58,3 +58,14 @@ def test_cascade_delete(spark):
     aspects = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "review_id string, n int")
     left, children = r.remove_reviews(reviews, aspects, ids(spark, " b"))
     assert listed(left) == ["a"] and listed(children) == ["a"]
+
+
+def test_first_pending_deals_the_rows_once(spark):
+    rows = spark.createDataFrame([("1", 2), ("1", 1), (" 1", 5), ("2 ", 3), ("3", 4), (None, 6), (None, 7)], "review_id string, n int")
+    known = spark.createDataFrame([("2",), (" 3",)], "review_id string")
+    found = r.first_pending(rows, known, ["n"])
+    assert found.columns == rows.columns
+    assert sorted(x["n"] for x in found.collect()) == [1, 5, 6]
+    assert executed(found).count("Exchange hashpartitioning") == 2
+    plain = r.first_per_key(r.pending_reviews(rows, known), ["review_id"], [])
+    assert sorted(map(repr, r.first_pending(rows, known, []).collect())) == sorted(map(repr, plain.collect()))

@@ -203,3 +203,31 @@ def test_rows_are_written_once_where_they_are_published(spark, tmp_path):
     assert store.load(spark, root, again, aspects(spark, [20])).rows("reviews") == 10
     store.delete(spark, root, spark.createDataFrame([("20",)], "review_id string"))
     assert set(working.iterdir()) == before
+
+
+def test_aspects_are_looked_for_again_only_if_some_have_no_review(spark, tmp_path, monkeypatch):
+    calls, real = [], store.assert_no_orphans
+    monkeypatch.setattr(store, "assert_no_orphans", lambda *given: (calls.append(given), real(*given)))
+    root = str(tmp_path)
+    store.load(spark, root, reviews(spark, range(4)), aspects(spark, range(4)))
+    last = store.load(spark, root, reviews(spark, range(2, 6)), aspects(spark, range(6), "positive"))
+    assert not calls and last.rows("review_aspects") == 12
+    padded = aspects(spark, [1, 7]).selectExpr("if(review_id = '1', ' 1 ', review_id) as review_id", "pos", "aspect", "aspect_sentiment")
+    assert store.load(spark, root, reviews(spark, [7]), padded).rows("review_aspects") == 14 and len(calls) == 1
+    with pytest.raises(IntegrityError, match="2 aspect rows without a review"):
+        store.load(spark, root, reviews(spark, [8]), aspects(spark, [1, 8, 9]))
+    assert snapshot(spark, root).version == 3
+
+
+def test_a_delete_copies_only_the_reviews_that_go(spark, tmp_path, monkeypatch):
+    made, real = [], store.stored_at
+    monkeypatch.setattr(store, "stored_at", lambda df, purpose: (made.append(purpose), real(df, purpose))[1])
+    root = str(tmp_path)
+    both = spark.createDataFrame([("1", "b"), (" 1", "b"), ("2", "b"), ("11", "b")], "review_id string, brand_name string")
+    store.load(spark, root, both.selectExpr("*", "'positive' as overall_sentiment", "'fixture' as extraction_method"),
+               spark.createDataFrame([(i, p, "finish", "neutral") for i in ("1", " 1", "2", "11") for p in range(2)],
+                                     "review_id string, pos long, aspect string, aspect_sentiment string"))
+    last = store.delete(spark, root, spark.createDataFrame([("1 ",), ("1",), (None,)], "review_id string"))
+    assert made == ["deleted-reviews"]
+    assert content(spark, root) == (["11", "2"], ["11", "11", "2", "2"])
+    assert [r["total_mentions"] for r in summary.summary_of(last.table(spark, "mention_counts")).collect()] == [4]

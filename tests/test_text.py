@@ -54,3 +54,8 @@ def test_labels(spark):
 
 def test_blank(spark):
     assert values(spark, [None, "", "  ", "x"], t.is_blank) == [True, True, True, False]
+
+
+def test_id_key_is_the_stripped_text(spark):
+    texts = [*SAMPLES, "7", " 7", "7 ", "!", "~", "\x7f", "é", "é ", " é", "a\u3000", "\x1ca", "a\x85", "a b", "\u200b1"]
+    assert values(spark, texts, t.id_key) == [None if x is None else x.strip() for x in texts]
